@@ -5,10 +5,9 @@ writer: ids are a list column, delta or dictionary encoded (`encoding`), in row
 pages of at most `page_rows` rows, so that the page index that the writer adds lets a reader of some documents
 skip the pages of all others; n_tokens, part and local_start are columns of their own, read without the ids.
 
-Encoding a text whole is slow, so words are cached: byte-level BPE splits a text into pieces that never cross
-from a non-space into a space, and no piece depends on its neighbours; a text is cut at single spaces and each
-cut is encoded once for each worker. Texts for which cutting could change the pieces (two spaces running, a
-special token's string) are encoded whole.
+Encoding a text whole is slow, so pieces are cached. Byte-level BPE first splits a text into pieces by a pattern, and
+no piece depends on its neighbours; texts hold far fewer different pieces than words. New pieces are encoded
+together, one to a line. Texts with a special token's string are encoded whole.
 
 Cases: null text is empty and gets the end id alone; repeated ids keep all their rows, ordered by text; a null
 doc_id comes first; an empty table gives files without rows.
@@ -16,6 +15,8 @@ doc_id comes first; an empty table gives files without rows.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,54 +27,100 @@ from pyspark.sql import functions as F
 
 from .common import new_path, text_slices
 
-#: Most cached words of a worker; beyond it the cache starts anew.
+#: Most cached pieces of a worker; beyond it the cache starts anew.
 CACHE = 400_000
+#: Fixed value: the pattern by which byte-level BPE of this family splits a text.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordCachedEncoder:
-    """ids of texts by a tokenizers file, the same as encode(text, add_special_tokens=False)."""
+def _latin_pattern() -> str:
+    """PIECES for texts of the first 256 code points, in classes that the faster `re` knows."""
+    kinds = {"L": [], "N": []}
+    for c in map(chr, range(256)):
+        if (kind := unicodedata.category(c)[0]) in kinds:
+            kinds[kind].append(c)
+    letter, number, space = "".join(kinds["L"]), "".join(kinds["N"]), r"\t-\r \x85\xa0"
+    out = PIECES.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]").replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]")
+    return out.replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]")
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+class PieceCachedEncoder:
+    """ids of texts by a byte-level BPE file of the tokenizers library, the same as encode(text, add_special_tokens=False)."""
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536
-        self.dtype = np.uint32 if self.wide else np.uint16
+        self.dtype = np.uint32 if self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536 else np.uint16
+        self.split = regex.compile(PIECES).findall
+        self.split_latin = re.compile(_latin_pattern()).findall
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most = cache
-        self.cache: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _add(self, new: list[str]) -> None:
+        """Encode pieces; those without line ends together, 100 to a text, and cut at the line ends' id."""
+        plain = [x for x in new if not x.isspace()] if len(self.line_end) == 1 else []
+        other = [x for x in new if x.isspace()] if plain else new
+        self.pieces.update(zip(other, self._direct(other), strict=True))
+        groups = [plain[i : i + 100] for i in range(0, len(plain), 100)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, self.dtype)
+            cut = [-1, *np.flatnonzero(ids == self.line_end[0]).tolist(), len(ids)]
+            if len(cut) != len(group) + 1:
+                self.pieces.update(zip(group, self._direct(group), strict=True))
+                continue
+            data, size = ids.tobytes(), ids.itemsize
+            self.pieces.update((x, data[(a + 1) * size : b * size]) for x, a, b in zip(group, cut, cut[1:], strict=False))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut: list[list[str] | None] = []
+        if len(self.pieces) > self.most:
+            self.pieces.clear()
+        known = self.pieces.get
+        out: list = [b""] * len(texts)
+        whole: list[int] = []
+        waiting: list[tuple[int, list[str]]] = []
         new: dict[str, None] = {}
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        cache = self.cache
-        for text in texts:
-            text = text or ""
-            if "  " in text or any(s in text for s in self.special):
-                cut.append(None)
+        for i, text in enumerate(texts):
+            if not text:
                 continue
-            parts = text.split(" ")
-            parts[1:] = [" " + x for x in parts[1:]]
-            cut.append(parts)
-            new.update(dict.fromkeys(x for x in parts if x not in cache))
-        if new:
-            words = list(new)
-            cache.update(zip(words, self._direct(words), strict=True))
-        whole = iter(self._direct([t or "" for t, c in zip(texts, cut, strict=True) if c is None]))
-        return [np.frombuffer(next(whole) if c is None else b"".join(map(cache.__getitem__, c)), self.dtype) for c in cut]
-
-
-_encoders: dict[str, WordCachedEncoder] = {}
-
-
-def encoder(path: str) -> WordCachedEncoder:
+            if any(x in text for x in self.special):
+                whole.append(i)
+                continue
+            cut = (self.split_latin if _is_latin(text) else self.split)(text)
+            got = list(map(known, cut))
+            if None in got:
+                new.update((p, None) for p, x in zip(cut, got, strict=True) if x is None)
+                waiting.append((i, cut))
+            else:
+                out[i] = b"".join(got)
+        self._add(list(new))
+        ids = self.pieces.__getitem__
+        for i, cut in waiting:
+            out[i] = b"".join(map(ids, cut))
+        for i, x in zip(whole, self._direct([texts[i] for i in whole]), strict=True):
+            out[i] = x
+        return [np.frombuffer(x, self.dtype) for x in out]
+
+
+_encoders: dict[str, PieceCachedEncoder] = {}
+
+
+def encoder(path: str) -> PieceCachedEncoder:
     if path not in _encoders:
-        _encoders[path] = WordCachedEncoder(path)
+        _encoders[path] = PieceCachedEncoder(path)
     return _encoders[path]
 
 
