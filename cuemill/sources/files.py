@@ -20,7 +20,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def seed_sources(spark: SparkSession, path: str) -> DataFrame:
     """source_idx, domain, url, note. One column is a URL of domain `unknown`, two are domain and URL."""
     rows = _lines(spark, path).withColumn("value", F.btrim("value")).filter("value <> '' and not startswith(value, '#')")
-    p = F.transform(F.split("value", "\t"), F.btrim)
+    p = F.transform(F.split("value", "\t"), lambda x: F.btrim(x))
     part = lambda i: F.coalesce(F.get(p, i), F.lit(""))
     one = F.size(p) == 1
     order = F.row_number().over(Window.orderBy("line_idx")) - 1
