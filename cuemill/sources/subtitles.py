@@ -9,6 +9,9 @@ from ..config import SourceConfig
 from ..functions import patterns as P
 from ..functions import text as X
 
+#: Fixed value: the form of a bare video id.
+VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
+
 
 def read_subtitles(spark: SparkSession, path: str) -> DataFrame:
     """video_id, lang, body of the newest file <video_id>.<lang>.<vtt|srt> of each video and language below path."""
@@ -68,7 +71,7 @@ def expand_urls(sources: DataFrame, listings: DataFrame, config: SourceConfig =
     direct = is_direct_url(F.col("url"))
     entries = F.coalesce("entries", F.expr("cast(array() as array<struct<webpage_url:string,url:string>>)"))
     page = lambda e: F.nullif(e["webpage_url"], F.lit(""))
-    made = F.transform(entries, lambda e: F.struct(F.coalesce(page(e), F.when(F.length(e["url"]) == 11, F.concat(F.lit("https://www.youtube.com/watch?v="), e["url"])), F.when(e["url"].startswith("http"), e["url"])).alias("u"), page(e).isNotNull().alias("page")))
+    made = F.transform(entries, lambda e: F.struct(F.coalesce(page(e), F.when(e["url"].rlike(VIDEO_ID), F.concat(F.lit("https://www.youtube.com/watch?v="), e["url"])), F.when(e["url"].startswith("http"), e["url"])).alias("u"), page(e).isNotNull().alias("page")))
     listed = F.filter(made, lambda e: e["u"].isNotNull())
     cap = config.max_videos_per_source
     if config.cap_webpage_urls:
