@@ -7,8 +7,8 @@ row. A query's inner products with all codewords make a lookup table; a candidat
 codewords' entries (with the stored norm, a distance). The best candidates of each block are reranked with
 exact inner products in double precision.
 
-Layout: rows are dealt by a hash into blocks of bounded size; query rows go to every block (a stated query set
-against all rows, in blocks). Equal vectors of a block count as one candidate, so a vector that repeats
+Layout: rows and query rows are dealt by hashes into blocks of bounded size, and every block of queries meets every
+block of rows in a task of its own (a stated query set against all rows, in blocks). Equal vectors of a block count as one candidate, so a vector that repeats
 thousands of times can't crowd out others. Each block gives its best k for each query, exactly scored; these
 meet by query in a max-k aggregation.
 
@@ -31,7 +31,8 @@ from .common import staged
 
 #: Rows in the training sample, codebooks, codewords, and partial sums kept by the beam search.
 SAMPLE, BOOKS, WORDS, BEAM = 4096, 8, 128, 4
-BLOCK_ROWS, RERANK = 16384, 300
+#: Most rows and query rows of a task, on average, and candidates reranked for each query.
+BLOCK_ROWS, QUERY_ROWS, RERANK = 16384, 8192, 300
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 6) -> np.ndarray:
@@ -107,7 +108,7 @@ def sound(vector: str, dim: int) -> Column:
     return v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
-def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, block_rows: int = BLOCK_ROWS, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, beam: int = BEAM) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each query row."""
     spark = rows.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
@@ -132,8 +133,12 @@ def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec
 
     coded = base.withColumn("q", F.coalesce(is_query, F.lit(False))).mapInArrow(index, "vec_id long, v array<float>, code binary, norm float, q boolean")
     coded = staged(coded, "ann-index")
-    dealt = coded.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).drop("q")
-    queries = coded.filter("q").select("vec_id", "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    query_blocks = max(1, -(-coded.filter("q").count() // query_rows))
+    place = lambda seed, n: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    pair = ["block", "query_block"]
+    dealt = coded.drop("q").withColumn("block", place(1, blocks)).withColumn("query_block", every(query_blocks))
+    queries = coded.filter("q").select("vec_id", "v").withColumn("query_block", place(2, query_blocks)).withColumn("block", every(blocks))
 
     def block(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
@@ -165,6 +170,6 @@ def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec
                 found.append((np.full(len(best), own), ids[pick[best]], score[best]))
         return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
-    near = queries.groupBy("block").cogroup(dealt.groupBy("block")).applyInPandas(block, "query_id long, vec_id long, score double")
+    near = queries.groupBy(*pair).cogroup(dealt.groupBy(*pair)).applyInPandas(block, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
