@@ -2,7 +2,7 @@
 
 The global order of n-grams goes by document frequency, then hash. It is cut into fragments by hash; a fragment
 holds the segments of all sets, counts frequencies and drops what no two sets share, so that only shared n-grams
-travel on. Sets so cut are gathered again: a set of n n-grams that has more unshared ones than the prefix filter
+travel on. Where there are more sets than a task should hold, a fragment is salted by class into cells. Sets so cut are gathered again: a set of n n-grams that has more unshared ones than the prefix filter
 allows (n - ceil(t n)) has no partner. The rest are indexed by the prefix of the global order. For a candidate
 pair the partial overlaps are counted fragment by fragment and summed.
 
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import drop_staged, staged, text_slices
 from .components import components
 
-#: n-grams in a fragment, on average, and n-grams of gathered sets in a task.
-FRAGMENT, GATHER = 4_000_000, 2_000_000
+#: n-grams in a fragment, on average, n-grams of gathered sets in a task, and sets of a fragment in a task.
+FRAGMENT, GATHER, SETS = 4_000_000, 2_000_000, 8_000_000
 _PARTS = 8  # fragments in which overlaps of pairs are counted
 
 _U = np.uint64
@@ -115,25 +115,26 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, class long")
 
 
-def _segments(docs: DataFrame, n: int, bits: int) -> DataFrame:
-    """fragment, classes, sizes, counts, grams: packed segments of distinct sets; grams are 40 bits below the fragment's."""
+def _segments(docs: DataFrame, n: int, bits: int, salts: int) -> DataFrame:
+    """cell (fragment * salts + salt of the class), classes, sizes, counts, grams: packed segments of distinct sets;
+    grams are 40 bits below the fragment's."""
     low, mask = _U(24 - bits), _U((1 << 40) - 1)
 
     def pack(sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         cls, size = np.array([_class(x) for x in sets], np.int64), np.array([len(x) for x in sets], np.uint32)
         every = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), size)
-        frag = (every >> _U(64 - bits)).astype(np.int64)
-        key = frag * len(sets) + owner
+        cell = (every >> _U(64 - bits)).astype(np.int64) * salts + (cls % salts)[owner]
+        key = cell * len(sets) + owner
         order = np.argsort(key, kind="stable")
         key, tail = key[order], (every[order] >> low) & mask
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.append(at, len(key))).astype(np.uint32)
         own, f = key[at] % len(sets), key[at] // len(sets)
         packed = np.ascontiguousarray(tail.view(np.uint8).reshape(-1, 8)[:, :5])
-        cut, ends = np.searchsorted(f, np.arange((1 << bits) + 1)), np.append(at, len(key))
+        cut, ends = np.searchsorted(f, np.arange((salts << bits) + 1)), np.append(at, len(key))
         rows = [(i, cls[own[a:b]].tobytes(), size[own[a:b]].tobytes(), count[a:b].tobytes(), packed[ends[a] : ends[b]].tobytes()) for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["fragment", "classes", "sizes", "counts", "grams"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["cell", "classes", "sizes", "counts", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -153,7 +154,7 @@ def _segments(docs: DataFrame, n: int, bits: int) -> DataFrame:
         if held:
             yield from pack(held)
 
-    return docs.select("text").mapInArrow(run, "fragment int, classes binary, sizes binary, counts binary, grams binary")
+    return docs.select("text").mapInArrow(run, "cell int, classes binary, sizes binary, counts binary, grams binary")
 
 
 def _wide(packed: bytes) -> np.ndarray:
@@ -165,40 +166,89 @@ def _wide(packed: bytes) -> np.ndarray:
 _SHARED = "part int, classes binary, sizes binary, counts binary, grams binary, ranks binary"
 
 
-def _shared(fragments: DataFrame, parts: int) -> DataFrame:
-    """Of each fragment what two sets or more share, with the n-gram's rank (its frequency on a scale of logarithms)."""
-
-    def fragment(table: pa.Table) -> pa.Table:
-        which = table.column("fragment")[0].as_py()
-        column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        cls, size, count = column("classes", np.int64), column("sizes", np.uint32), column("counts", np.uint32)
-        gram = np.concatenate([_wide(x) for x in table.column("grams").to_pylist()])
-        owner = np.repeat(np.arange(len(cls)), count)
-        first = np.zeros(len(cls), bool)
-        first[np.unique(cls, return_index=True)[1]] = True
-        keep = first[owner]
-        gram, owner = gram[keep], owner[keep]
-        order = np.argsort(gram, kind="stable")
-        gram, owner = gram[order], owner[order]
-        at = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.array([], np.int64)
-        df = np.diff(np.append(at, len(gram)))
-        rank = np.minimum(255, np.ceil(8 * np.log2(np.maximum(df, 1)))).astype(np.uint8)
-        shared = np.repeat(df > 1, df)
-        gram, owner, rank = gram[shared], owner[shared], np.repeat(rank, df)[shared]
+def _column(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _cell(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Classes and sizes of a cell's segments, its n-grams (ascending, each class once) and their owners."""
+    cls, size, count = _column(table, "classes", np.int64), _column(table, "sizes", np.uint32), _column(table, "counts", np.uint32)
+    gram = np.concatenate([_wide(x) for x in table.column("grams").to_pylist()])
+    owner = np.repeat(np.arange(len(cls)), count)
+    first = np.zeros(len(cls), bool)
+    first[np.unique(cls, return_index=True)[1]] = True
+    keep = first[owner]
+    gram, owner = gram[keep], owner[keep]
+    order = np.argsort(gram, kind="stable")
+    return cls, size, gram[order], owner[order]
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of runs of equal values."""
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.array([], np.int64)
+    return at, np.diff(np.append(at, len(x)))
+
+
+def _rank(frequency: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.ceil(8 * np.log2(np.maximum(frequency, 1)))).astype(np.uint8)
+
+
+def _shared(cells: DataFrame, parts: int, salts: int) -> DataFrame:
+    """Of each cell what two sets or more share, with the n-gram's rank (its frequency on a scale of logarithms).
+
+    With one salt a cell is a fragment and counts its n-grams itself. With more, the cells' counts are summed by
+    fragment, at most one row for each cell and n-gram, and the shared n-grams go back to the fragment's cells, so
+    that sets with a very frequent n-gram never meet in one task.
+    """
+
+    def cut_up(which: int, cls: np.ndarray, size: np.ndarray, gram: np.ndarray, owner: np.ndarray, rank: np.ndarray) -> pa.Table:
         gram = gram | _U(which) << _U(40)
         part = (cls[owner] % parts) if len(owner) else owner
         order = np.lexsort((owner, part))
         gram, owner, rank, part = gram[order], owner[order], rank[order], part[order]
-        at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.array([], np.int64)
-        ends = np.append(at, len(owner))
-        n, own = np.diff(ends).astype(np.uint32), owner[at]
+        at, n = _runs(owner)
+        ends, own, n = np.append(at, len(owner)), owner[at], n.astype(np.uint32)
         cut = np.searchsorted(part[at], np.arange(parts + 1))
         rows = [(p, cls[own[a:b]].tobytes(), size[own[a:b]].tobytes(), n[a:b].tobytes(), gram[ends[a] : ends[b]].tobytes(), rank[ends[a] : ends[b]].tobytes()) for p, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
         kinds = (pa.int32(), *[pa.binary()] * 5)
         names = [x.split(" ")[0] for x in _SHARED.split(", ")]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=names)
 
-    return fragments.groupBy("fragment").applyInArrow(fragment, _SHARED)
+    def alone(table: pa.Table) -> pa.Table:
+        cls, size, gram, owner = _cell(table)
+        _, df = _runs(gram)
+        keep = np.repeat(df > 1, df)
+        return cut_up(table.column("cell")[0].as_py(), cls, size, gram[keep], owner[keep], np.repeat(_rank(df), df)[keep])
+
+    def tally(table: pa.Table) -> pa.Table:
+        _, _, gram, _ = _cell(table)
+        at, df = _runs(gram)
+        return pa.table({"fragment": pa.array([table.column("cell")[0].as_py() // salts], pa.int32()), "grams": pa.array([gram[at].tobytes()], pa.binary()), "counts": pa.array([df.astype(np.uint32).tobytes()], pa.binary())})
+
+    def total(table: pa.Table) -> pa.Table:
+        fragment = table.column("fragment")[0].as_py()
+        gram, back = np.unique(_column(table, "grams", np.uint64), return_inverse=True)
+        df = np.bincount(back, weights=_column(table, "counts", np.uint32), minlength=len(gram))
+        gram, rank = gram[df > 1], _rank(df[df > 1])
+        return pa.table({"cell": pa.array([fragment * salts + i for i in range(salts)], pa.int32()), "grams": pa.array([gram.tobytes()] * salts, pa.binary()), "ranks": pa.array([rank.tobytes()] * salts, pa.binary())})
+
+    def look_up(table: pa.Table, known: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.schema([(x.split(" ")[0], pa.int32() if x.endswith("int") else pa.binary()) for x in _SHARED.split(", ")]).empty_table()
+        cls, size, gram, owner = _cell(table)
+        held, rank = _column(known, "grams", np.uint64), _column(known, "ranks", np.uint8)
+        if not len(held):
+            held, rank = np.array([(1 << 64) - 1], np.uint64), np.zeros(1, np.uint8)  # no n-gram has more than 40 bits here
+        at = np.minimum(np.searchsorted(held, gram), len(held) - 1)
+        keep = held[at] == gram
+        return cut_up(table.column("cell")[0].as_py() // salts, cls, size, gram[keep], owner[keep], rank[at][keep])
+
+    if salts == 1:
+        return cells.groupBy("cell").applyInArrow(alone, _SHARED)
+    cells = staged(cells, "jaccard-cells")
+    sums = cells.groupBy("cell").applyInArrow(tally, "fragment int, grams binary, counts binary")
+    known = sums.groupBy("fragment").applyInArrow(total, "cell int, grams binary, ranks binary")
+    return cells.groupBy("cell").cogroup(known.groupBy("cell")).applyInArrow(look_up, _SHARED)
 
 
 def least_overlap(t: float, n: Column | int, m: Column | int) -> Column:
@@ -209,9 +259,8 @@ def _records(shared: DataFrame, percent: int) -> DataFrame:
     """class, n, free (unshared n-grams), grams in the global order, and how many are the prefix, for the sets that may have partners."""
 
     def gather(table: pa.Table) -> pa.Table:
-        column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        cls, size, count = column("classes", np.int64), column("sizes", np.uint32).astype(np.int64), column("counts", np.uint32)
-        gram, rank = column("grams", np.uint64), column("ranks", np.uint8)
+        cls, size, count = _column(table, "classes", np.int64), _column(table, "sizes", np.uint32).astype(np.int64), _column(table, "counts", np.uint32)
+        gram, rank = _column(table, "grams", np.uint64), _column(table, "ranks", np.uint8)
         ids, back = np.unique(cls, return_inverse=True)
         n = np.zeros(len(ids), np.int64)
         n[back] = size
@@ -246,11 +295,12 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return sums.filter(_link(F.col("na"), F.col("nb"), F.col("c"), percent)).select("a", "b")
 
 
-def class_links(docs: DataFrame, n: int, percent: int, grams: int) -> DataFrame | None:
+def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) -> DataFrame | None:
     """Links (a, b) between classes that hold every component together, or None if there is no candidate."""
     bits = max(3, min(20, math.ceil(math.log2(max(1, grams / FRAGMENT)))))
     parts = max(8, -(-grams // GATHER))
-    records = staged(_records(_shared(_segments(docs, n, bits), parts), percent), "jaccard-sets")
+    salts = max(1, -(-sets // SETS))
+    records = staged(_records(_shared(_segments(docs, n, bits, salts), parts, salts), percent), "jaccard-sets")
     postings = records.select("class", "n", "free", F.posexplode(F.slice("grams", F.lit(1), F.col("prefix"))).alias("place", "gram")).withColumn("place", F.col("free") + F.col("place"))
     postings = staged(postings.select("gram", "class", "n", "place", "free"), "jaccard-index")
     # the pivot of an n-gram: the member with the smallest share of unshared n-grams
@@ -280,10 +330,10 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id: one row for each row of docs (doc_id, text). Documents link when the Jaccard
     similarity of their n-gram sets is at least percent / 100; component_id is the smallest doc_id reachable."""
     own = staged(classes(docs, n), "jaccard-docs")
-    grams = own.agg(F.sum("n_shingles")).first()[0] or 0
+    grams, sets = own.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("class")).first()
     grouped = own.withColumn("component", F.col("class"))
     if grams:
-        found = components(class_links(docs, n, percent, grams))
+        found = components(class_links(docs, n, percent, grams, sets))
         grouped = own.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = grouped.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return grouped.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

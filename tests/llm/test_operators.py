@@ -274,7 +274,7 @@ def test_ann(spark):
     x[100:160] = x[0]
     bad = {5: None, 6: [0.0] * 8, 7: [float("nan")] + [1.0] * 7, 8: [1.0, None] + [1.0] * 6, 9: [float("inf")] * 8, 10: [1.0]}
     rows = [(i, bad[i] if i in bad else x[i].tolist()) for i in range(600)]
-    got = annsearch.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, block_rows=256, words=16, books=4, rerank=120).collect()
+    got = annsearch.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, block_rows=256, query_rows=12, words=16, books=4, rerank=120).collect()
     ok = np.array([i for i in range(600) if i not in bad])
     hit = total = 0
     for q in range(0, 600, 20):
@@ -331,6 +331,20 @@ def test_jaccard(spark, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, n, percent)
 
 
+def test_jaccard_salted_fragments(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SETS", 40)
+    rng = random.Random(12)
+    base = [[f"w{rng.randint(0, 200)}" for _ in range(40)] for _ in range(4)]
+    rows = []
+    for i in range(150):
+        w = list(base[i % 4])
+        for _ in range(rng.choice([0, 1, 1, 2, 5])):
+            w[rng.randrange(len(w))] = f"w{rng.randint(0, 200)}"
+        rows.append((i, " ".join([*w, "every", "text", "ends", "like", "this"])))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=4, percent=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, 85)
+
+
 def test_jaccard_hard_rows(docs):
     got = jaccard.near_duplicates(docs)
     assert got.count() == len(HARD) and got.filter("doc_id = 3 and component_id = 3").count() == 2
