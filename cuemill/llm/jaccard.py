@@ -34,7 +34,7 @@ from .common import drop_staged, staged, text_slices
 from .components import components
 
 #: n-grams in a fragment, on average, n-grams of gathered sets in a task, and sets of a fragment in a task.
-FRAGMENT, GATHER, SETS = 4_000_000, 2_000_000, 8_000_000
+FRAGMENT, GATHER, SETS = 2_000_000, 1_000_000, 8_000_000
 _PARTS = 8  # fragments in which overlaps of pairs are counted
 
 _U = np.uint64
