@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import staged
 
 #: Rows in the training sample, codebooks, codewords, and partial sums kept by the beam search.
-SAMPLE, BOOKS, WORDS, BEAM = 4096, 8, 128, 4
+SAMPLE, BOOKS, WORDS, BEAM = 4096, 12, 128, 4
 #: Most rows and query rows of a task, on average, and candidates reranked for each query.
-BLOCK_ROWS, QUERY_ROWS, RERANK = 16384, 8192, 300
+BLOCK_ROWS, QUERY_ROWS, RERANK = 16384, 8192, 1500
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 6) -> np.ndarray:
