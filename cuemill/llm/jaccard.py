@@ -305,6 +305,7 @@ def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) ->
     postings = staged(postings.select("gram", "class", "n", "place", "free"), "jaccard-index")
     # the pivot of an n-gram: the member with the smallest share of unshared n-grams
     pivots = postings.groupBy("gram").agg(F.min(F.struct((F.col("free") / F.col("n")).alias("share"), "class", "n")).alias("p"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("gram", F.col("p.class").alias("pivot"), F.col("p.n").alias("pn"))
+    pivots = staged(pivots, "jaccard-pivots")  # staged, like `largest`: between two plain shuffles a skewed join can be split
     may = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))
     votes = postings.join(pivots, "gram").filter((F.col("class") != F.col("pivot")) & may(F.col("n"), F.col("pn"))).groupBy("class", "pivot").count()
     chosen = votes.groupBy("class").agg(F.max(F.struct("count", "pivot")).alias("v")).select(F.least("class", "v.pivot").alias("a"), F.greatest("class", "v.pivot").alias("b")).distinct()
@@ -314,6 +315,7 @@ def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) ->
     held = staged(held.select("gram", "class", "n", "place", "component"), "jaccard-held")
     sizes = held.groupBy("gram", "component").count()
     largest = sizes.groupBy("gram").agg(F.max(F.struct("count", "component")).alias("top"), F.count(F.lit(1)).alias("groups")).filter("groups > 1").select("gram", F.col("top.component").alias("largest"))
+    largest = staged(largest, "jaccard-largest")
     open_ = staged(held.join(largest, "gram"), "jaccard-open")
     x = open_.filter("component <> largest").select("gram", "largest", *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "place", "component")])
     y = open_.select("gram", *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "place", "component")])
@@ -322,7 +324,7 @@ def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) ->
     pairs = x.join(y, "gram").filter((F.col("x_component") != F.col("y_component")) & may(F.col("x_n"), F.col("y_n")) & (room >= least_overlap(t, F.col("x_n"), F.col("y_n"))))
     pairs = pairs.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
     second = staged(_verified(staged(pairs, "jaccard-pairs"), records, percent), "jaccard-links")
-    drop_staged(postings, held, open_, records)
+    drop_staged(postings, pivots, held, largest, open_, records)
     return first.unionByName(second)
 
 
@@ -335,5 +337,5 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFr
     if grams:
         found = components(class_links(docs, n, percent, grams, sets))
         grouped = own.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    least = grouped.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = staged(grouped.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "jaccard-least")
     return grouped.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

@@ -102,10 +102,11 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in ((keys, pa.int64()), (docs_, pa.int64()), (texts_, pa.int64()), (starts, pa.int32()), (ends, pa.int32()))], ["key", *_KEYS, "start", "end"])
 
     prints = staged(held.select(*_KEYS, "h", "w").mapInArrow(select, "key long, _doc long, _text long, start int, end int"), "fingerprints")
-    first = prints.groupBy("key").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "s")
+    # tables that are joined to hot keys are staged: between two plain shuffles a skewed join can be split
+    first = staged(prints.groupBy("key").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "s"), "first-places")
     later = prints.join(first, "key").filter(F.struct(*_KEYS, "start") != F.col("s")).select(*_KEYS, "start", "end", F.col("s._doc").alias("sd"), F.col("s._text").alias("st"), (F.col("start") - F.col("s.start")).alias("offset"))
-    found = later.groupBy(*_KEYS, "sd", "st", "offset").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("windows"))
-    own = held.dropDuplicates(_KEYS).select(*_KEYS, "at", "h")
+    found = staged(later.groupBy(*_KEYS, "sd", "st", "offset").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("windows")), "line-matches")
+    own = staged(held.dropDuplicates(_KEYS).select(*_KEYS, "at", "h"), "line-hashes")
     source = own.select(F.col("_doc").alias("sd"), F.col("_text").alias("st"), F.col("h").alias("sh"))
     matched = found.join(own, _KEYS).join(source, ["sd", "st"])
 
