@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,19 +92,37 @@ def doc_crc(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
+def release_memory() -> None:
+    """Give freed memory of this Python worker back to the system: workers are reused, and what one stage has freed
+    would else count on top of what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def row_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows, for rows that may hold long lists."""
+    release_memory()
+    for batch in batches:
+        for begin in range(0, len(batch), rows):
+            yield batch.slice(begin, rows)
+    release_memory()
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches whose texts hold about `most` characters together (one text at least)."""
+    """Slices of the batches whose texts hold about `most` bytes together (one text at least)."""
+    release_memory()
     for batch in batches:
-        texts = batch.column(column).to_pylist()
         begin, held = 0, 0
-        for i, text in enumerate(texts):
-            n = len(text) if text else 0
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for i, n in enumerate([*sizes, most + 1]):
             if i > begin and held + n > most:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+                part = batch.slice(begin, i - begin)
+                yield part, part.column(column).to_pylist()
                 begin, held = i, 0
             held += n
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+    release_memory()
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_staged, staged, text_slices
+from .common import drop_staged, release_memory, staged, text_slices
 from .components import components
 
 #: n-grams in a fragment, on average, n-grams of gathered sets in a task, and sets of a fragment in a task.
@@ -215,12 +215,14 @@ def _shared(cells: DataFrame, parts: int, salts: int) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=names)
 
     def alone(table: pa.Table) -> pa.Table:
+        release_memory()
         cls, size, gram, owner = _cell(table)
         _, df = _runs(gram)
         keep = np.repeat(df > 1, df)
         return cut_up(table.column("cell")[0].as_py(), cls, size, gram[keep], owner[keep], np.repeat(_rank(df), df)[keep])
 
     def tally(table: pa.Table) -> pa.Table:
+        release_memory()
         _, _, gram, _ = _cell(table)
         at, df = _runs(gram)
         return pa.table({"fragment": pa.array([table.column("cell")[0].as_py() // salts], pa.int32()), "grams": pa.array([gram[at].tobytes()], pa.binary()), "counts": pa.array([df.astype(np.uint32).tobytes()], pa.binary())})
@@ -259,6 +261,7 @@ def _records(shared: DataFrame, percent: int) -> DataFrame:
     """class, n, free (unshared n-grams), grams in the global order, and how many are the prefix, for the sets that may have partners."""
 
     def gather(table: pa.Table) -> pa.Table:
+        release_memory()
         cls, size, count = _column(table, "classes", np.int64), _column(table, "sizes", np.uint32).astype(np.int64), _column(table, "counts", np.uint32)
         gram, rank = _column(table, "grams", np.uint64), _column(table, "ranks", np.uint8)
         ids, back = np.unique(cls, return_inverse=True)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_join, staged, text_slices
+from .common import bounded_join, row_slices, staged, text_slices
 
 MIN_WORDS = 50
 _KEYS = ["_doc", "_text"]
@@ -90,7 +90,7 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     held = staged(keyed.mapInArrow(lines, "_doc long, _text long, at array<int>, h array<long>, w array<int>"), "lines")
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             docs_, texts_, keys, starts, ends = [], [], [], [], []
             for d, t, h, w in zip(*(batch.column(c).to_pylist() for c in ("_doc", "_text", "h", "w")), strict=True):
                 found = fingerprints(h, w, min_words)
@@ -111,7 +111,7 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     matched = found.join(own, _KEYS).join(source, ["sd", "st"])
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches):
             cuts = []
             for d, t, sd, st, offset, windows, at, h, sh in zip(*(batch.column(c).to_pylist() for c in (*_KEYS, "sd", "st", "offset", "windows", "at", "h", "sh")), strict=True):
                 runs = extend(h, sh, (d, t) == (sd, st), [w["start"] for w in windows], [w["end"] for w in windows], offset)
