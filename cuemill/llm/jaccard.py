@@ -35,6 +35,8 @@ from .components import components
 
 #: n-grams in a fragment, on average, n-grams of gathered sets in a task, and sets of a fragment in a task.
 FRAGMENT, GATHER, SETS = 2_000_000, 1_000_000, 8_000_000
+#: n-grams packed at once, and classes a task remembers, so as to send equal sets once (the next step drops the rest).
+PACK, SEEN = 600_000, 150_000
 _PARTS = 8  # fragments in which overlaps of pairs are counted
 
 _U = np.uint64
@@ -146,10 +148,10 @@ def _segments(docs: DataFrame, n: int, bits: int, salts: int) -> DataFrame:
                     seen.add(c)
                     held.append(x)
                     mass += len(x)
-            if mass > 1_500_000:
+            if mass > PACK:
                 yield from pack(held)
                 held, mass = [], 0
-            if len(seen) > 500_000:
+            if len(seen) > SEEN:
                 seen.clear()
         if held:
             yield from pack(held)
@@ -157,9 +159,13 @@ def _segments(docs: DataFrame, n: int, bits: int, salts: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "cell int, classes binary, sizes binary, counts binary, grams binary")
 
 
-def _wide(packed: bytes) -> np.ndarray:
-    x = np.zeros((len(packed) // 5, 8), np.uint8)
-    x[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+def _wide(packed: list[bytes]) -> np.ndarray:
+    x = np.zeros((sum(map(len, packed)) // 5, 8), np.uint8)
+    at = 0
+    for p in packed:
+        n = len(p) // 5
+        x[at : at + n, :5] = np.frombuffer(p, np.uint8).reshape(-1, 5)
+        at += n
     return x.view(np.uint64).ravel()
 
 
@@ -173,12 +179,13 @@ def _column(table: pa.Table, name: str, kind: type) -> np.ndarray:
 def _cell(table: pa.Table) -> tuple[np.ndarray, ...]:
     """Classes and sizes of a cell's segments, its n-grams (ascending, each class once) and their owners."""
     cls, size, count = _column(table, "classes", np.int64), _column(table, "sizes", np.uint32), _column(table, "counts", np.uint32)
-    gram = np.concatenate([_wide(x) for x in table.column("grams").to_pylist()])
-    owner = np.repeat(np.arange(len(cls)), count)
+    gram = _wide(table.column("grams").to_pylist())
+    owner = np.repeat(np.arange(len(cls), dtype=np.int32), count)
     first = np.zeros(len(cls), bool)
     first[np.unique(cls, return_index=True)[1]] = True
-    keep = first[owner]
-    gram, owner = gram[keep], owner[keep]
+    if not first.all():
+        keep = first[owner]
+        gram, owner = gram[keep], owner[keep]
     order = np.argsort(gram, kind="stable")
     return cls, size, gram[order], owner[order]
 
