@@ -15,6 +15,7 @@ doc_id comes first; an empty table gives files without rows.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -58,6 +59,7 @@ class PieceCachedEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library would start a thread for each of the machine's
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.uint32 if self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536 else np.uint16
