@@ -1,14 +1,15 @@
 """Line deduplication by winnowing over line hashes.
 
-A document is the sequence of its lines with words. A window is a run of lines from any line on that has just
-`min_words` words. The line with the smallest hash in a window (the last of equal ones) is its fingerprint; it is
-filed under its hash together with the window's content, so any two runs of at least `min_words` words that are
-equal share a fingerprint. Positions are joined to the earliest one of the same fingerprint, matches with the
-same source and offset are merged and extended both ways line by line, and every line of a match but for its
-earliest occurrence is deleted. Lines outside such runs stay, however often they repeat.
+A document is the sequence of its lines with words. A window is a run of lines that has `min_words` words and would
+not without its last line (counted from its first line) or without its first line (counted back from its last).
+The line with the smallest hash in a window (the last of equal ones) is its fingerprint; it is filed under its hash
+together with the window's content. Every line of a run of at least `min_words` words lies in a window inside the
+run: the one that starts with it, or where too few words follow, the one that ends with the run. So the lines of the
+windows that an earlier place has are just the lines of the runs that an earlier place has, whichever place that is;
+they are deleted. Lines outside such runs stay, however often they repeat.
 
-What is joined is fingerprints and line hashes. Texts don't move for it; one join at the end brings the lines to
-delete to the documents, as a broadcast where they are few.
+What is joined is fingerprints. Texts don't move for it; one join at the end brings the lines to delete to the
+documents, as a broadcast where they are few.
 
 Cases: null and empty texts stay as they are; blank lines match nothing and stay; documents are ordered by doc_id
 (null first), then by text hash; equal rows (id and text) are one document, so repeated rows keep the same
@@ -35,10 +36,11 @@ def line_rows(text: str | None) -> tuple[list[int], list[int], list[int]]:
     """Number, hash and word count of each line with words."""
     at, hashes, words = [], [], []
     for i, line in enumerate((text or "").split("\n")):
-        n = len(line.encode("utf-8", "surrogatepass").split())
+        line = line.strip().encode("utf-8", "surrogatepass")  # equal hashes go with equal counts
+        n = len(line.split())
         if n:
             at.append(i)
-            hashes.append(xxhash.xxh3_64_intdigest(line.strip().encode("utf-8", "surrogatepass")) - (1 << 63))
+            hashes.append(xxhash.xxh3_64_intdigest(line) - (1 << 63))
             words.append(n)
     return at, hashes, words
 
@@ -46,34 +48,38 @@ def line_rows(text: str | None) -> tuple[list[int], list[int], list[int]]:
 def fingerprints(hashes: list[int], words: list[int], least: int) -> list[tuple[int, int, int]]:
     """(key, first line, last line) of each window: the key holds the minimum of the window and its content."""
     out = []
-    end, held = 0, 0
     packed = np.array(hashes, np.int64).tobytes()
+
+    def file(start: int, end: int) -> None:
+        minimum = min(range(start, end), key=lambda i: (hashes[i], -i))
+        key = xxhash.xxh3_64_intdigest(packed[8 * start : 8 * end], (hashes[minimum] + (1 << 63) + minimum - start) & (1 << 64) - 1)
+        out.append((key - (1 << 63), start, end - 1))
+
+    end, held = 0, 0
     for start in range(len(words)):
         while end < len(words) and held < least:
             held += words[end]
             end += 1
         if held < least:
             break
-        minimum = min(range(start, end), key=lambda i: (hashes[i], -i))
-        key = xxhash.xxh3_64_intdigest(packed[8 * start : 8 * end], (hashes[minimum] + (1 << 63) + minimum - start) & (1 << 64) - 1)
-        out.append((key - (1 << 63), start, end - 1))
+        file(start, end)
         held -= words[start]
+    start, held = 0, 0
+    for end, n in enumerate(words, 1):
+        held += n
+        while start + 1 < end and held - words[start] >= least:
+            held -= words[start]
+            start += 1
+        if held - n >= least:  # else it is filed by its start, or too short
+            file(start, end)
     return out
 
 
-def extend(own: list[int], source: list[int], same: bool, starts: list[int], ends: list[int], offset: int) -> list[tuple[int, int]]:
-    """Maximal matches own[i] == source[i - offset] around the windows [start, end]."""
-    out: list[tuple[int, int]] = []
-    for a, b in zip(starts, ends, strict=True):
-        if out and b <= out[-1][1]:
-            continue
-        while a > 0 and a - 1 - offset >= 0 and own[a - 1] == source[a - 1 - offset] and not (same and offset <= 0):
-            a -= 1
-        while b + 1 < len(own) and b + 1 - offset < len(source) and own[b + 1] == source[b + 1 - offset]:
-            b += 1
-        if out and a <= out[-1][1] + 1:
-            a, _ = out.pop()
-        out.append((a, b))
+def covered(starts: list[int], ends: list[int]) -> list[int]:
+    """The lines of windows [start, end], each once, ascending."""
+    out: list[int] = []
+    for a, b in sorted(zip(starts, ends, strict=True)):
+        out += range(max(a, out[-1] + 1) if out else a, b + 1)
     return out
 
 
@@ -104,22 +110,16 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     prints = staged(held.select(*_KEYS, "h", "w").mapInArrow(select, "key long, _doc long, _text long, start int, end int"), "fingerprints")
     # tables that are joined to hot keys are staged: between two plain shuffles a skewed join can be split
     first = staged(prints.groupBy("key").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "s"), "first-places")
-    later = prints.join(first, "key").filter(F.struct(*_KEYS, "start") != F.col("s")).select(*_KEYS, "start", "end", F.col("s._doc").alias("sd"), F.col("s._text").alias("st"), (F.col("start") - F.col("s.start")).alias("offset"))
-    found = staged(later.groupBy(*_KEYS, "sd", "st", "offset").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("windows")), "line-matches")
-    own = staged(held.dropDuplicates(_KEYS).select(*_KEYS, "at", "h"), "line-hashes")
-    source = own.select(F.col("_doc").alias("sd"), F.col("_text").alias("st"), F.col("h").alias("sh"))
-    matched = found.join(own, _KEYS).join(source, ["sd", "st"])
+    later = prints.join(first, "key").filter(F.struct(*_KEYS, "start") != F.col("s"))
+    found = staged(later.groupBy(*_KEYS).agg(F.collect_set(F.struct("start", "end")).alias("windows")), "line-matches")
+    own = staged(held.dropDuplicates(_KEYS).select(*_KEYS, "at"), "line-numbers")
 
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            cuts = []
-            for d, t, sd, st, offset, windows, at, h, sh in zip(*(batch.column(c).to_pylist() for c in (*_KEYS, "sd", "st", "offset", "windows", "at", "h", "sh")), strict=True):
-                runs = extend(h, sh, (d, t) == (sd, st), [w["start"] for w in windows], [w["end"] for w in windows], offset)
-                cuts.append([at[i] for a, b in runs for i in range(a, b + 1)])
+            cuts = [[at[i] for i in covered([w["start"] for w in windows], [w["end"] for w in windows])] for windows, at in zip(*(batch.column(c).to_pylist() for c in ("windows", "at")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), pa.array(cuts, pa.list_(pa.int32()))], [*_KEYS, "_cut"])
 
-    cut = matched.select(*_KEYS, "sd", "st", "offset", "windows", "at", "h", "sh").mapInArrow(grow, "_doc long, _text long, _cut array<int>")
-    return cut.groupBy(*_KEYS).agg(F.array_distinct(F.flatten(F.collect_list("_cut"))).alias("_cut"))
+    return found.join(own, _KEYS).select(*_KEYS, "windows", "at").mapInArrow(gather, "_doc long, _text long, _cut array<int>")
 
 
 def _key_columns() -> list:

@@ -159,6 +159,39 @@ def test_line_dedup_against_brute_force(spark):
     assert {x for _, t in rows for x in t.split("\n")} <= held  # nothing is lost everywhere
 
 
+def repeated(rows, least=50):
+    """Line numbers of every run of at least `least` words that an earlier place has, by document."""
+    at, out = collections.defaultdict(list), {i: set() for i, _ in rows}
+    for i, text in rows:
+        lines = [(k, x.strip()) for k, x in enumerate((text or "").split("\n")) if words(x.strip())]
+        for a in range(len(lines)):
+            n = 0
+            for b in range(a, len(lines)):
+                n += len(words(lines[b][1]))
+                if n >= least:
+                    at[tuple(x for _, x in lines[a : b + 1])].append((i, [k for k, _ in lines[a : b + 1]]))
+    for places in at.values():
+        for i, run in places[1:]:
+            out[i] |= {*run}
+    return out
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = random.Random(11)
+    line = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    long, s1, s2 = line(80), line(20), line(15)
+    rows = [(1, long), (2, "\n".join([long, s1, s2, line(9)])), (3, "\n".join([long, s1, s2, line(7)]))]
+    pool = [line(rng.choice([1, 5, 15, 24, 30, 60])) for _ in range(12)]
+    rows += [(i, "\n".join(rng.choice(["", " \t", "\u00a0", *pool]) for _ in range(rng.randint(1, 14)))) for i in range(4, 90)]
+    rows += [(90, rows[40][1].replace("\n", "\u00a0\n\u00a0 ")), (91, None)]
+    got = {r.doc_id: r for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = repeated(rows)
+    assert want[3] == {0, 1, 2}
+    for i, text in rows:
+        assert got[i].n_removed == len(want[i])
+        assert got[i].text == (None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i]))
+
+
 def test_flac(docs):
     rng = np.random.default_rng(1)
     cases = [bytes(rng.integers(0, 256, 576, dtype=np.uint8)), b" " * 192, bytes(192), b"\xff" * 384, flac.payload("héllo"), flac.payload(None), bytes(rng.integers(100, 110, 1920, dtype=np.uint8)), bytes((128 + 60 * np.sin(np.arange(192 * 300) / 30)).astype(np.uint8)), bytes(np.where(np.arange(192) % 50 == 7, 255, 128).astype(np.uint8))]
