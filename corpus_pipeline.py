@@ -25,10 +25,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id: five-word shingles, 0.8 or more."""
-    found = jaccard.near_duplicates(docs, n=5, percent=80)
-    gone = staged(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return bounded_join(docs, gone, ["doc_id"], "left_anti").select(*COLUMNS)
+    """One row of each group of near copies stays: five-word shingles, 0.8 or more. Of a group that with the smallest id
+    (null last) stays; among rows with that id, repeated rows too, a hash of the row decides. Rows go by a key of their
+    own, so rows with null or shared ids count each for itself. Texts without words are in no group."""
+    keyed = staged(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    found = jaccard.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), n=5, percent=80)
+    copies = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_row"), "component_id"), "near-copies")
+    members = staged(copies.unionByName(copies.select(F.col("component_id").alias("_row"), "component_id").distinct()), "near-members")
+    order = keyed.select("_row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*COLUMNS).alias("h"), "_row").alias("order"))
+    first = bounded_join(order, members, ["_row"], "inner").groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first._row").alias("_row"))
+    gone = staged(members.select("_row").join(first, "_row", "left_anti"), "near-gone")
+    return bounded_join(keyed, gone, ["_row"], "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
