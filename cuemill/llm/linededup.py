@@ -1,12 +1,12 @@
-"""Line deduplication by winnowing over line hashes.
+"""Line deduplication by hashes of whole windows of lines.
 
 A document is the sequence of its lines with words. A window is a run of lines that has `min_words` words and would
 not without its last line (counted from its first line) or without its first line (counted back from its last).
-The line with the smallest hash in a window (the last of equal ones) is its fingerprint; it is filed under its hash
-together with the window's content. Every line of a run of at least `min_words` words lies in a window inside the
-run: the one that starts with it, or where too few words follow, the one that ends with the run. So the lines of the
-windows that an earlier place has are just the lines of the runs that an earlier place has, whichever place that is;
-they are deleted. Lines outside such runs stay, however often they repeat.
+Every window is filed under a hash of its content (no minima are selected, so this isn't winnowing). Every line of a
+run of at least `min_words` words lies in a window inside the run: the one that starts with it, or where too few
+words follow, the one that ends with the run. So the lines of the windows that an earlier place has are just the
+lines of the runs that an earlier place has, whichever place that is; they are deleted. Lines outside such runs stay,
+however often they repeat.
 
 What is joined is fingerprints. Texts don't move for it; one join at the end brings the lines to delete to the
 documents, as a broadcast where they are few.
@@ -46,14 +46,12 @@ def line_rows(text: str | None) -> tuple[list[int], list[int], list[int]]:
 
 
 def fingerprints(hashes: list[int], words: list[int], least: int) -> list[tuple[int, int, int]]:
-    """(key, first line, last line) of each window: the key holds the minimum of the window and its content."""
+    """(key, first line, last line) of each window: the key is a hash of the window's line hashes."""
     out = []
     packed = np.array(hashes, np.int64).tobytes()
 
     def file(start: int, end: int) -> None:
-        minimum = min(range(start, end), key=lambda i: (hashes[i], -i))
-        key = xxhash.xxh3_64_intdigest(packed[8 * start : 8 * end], (hashes[minimum] + (1 << 63) + minimum - start) & (1 << 64) - 1)
-        out.append((key - (1 << 63), start, end - 1))
+        out.append((xxhash.xxh3_64_intdigest(packed[8 * start : 8 * end]) - (1 << 63), start, end - 1))
 
     end, held = 0, 0
     for start in range(len(words)):

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cuemill.llm import annsearch, chat, flac, jaccard, langid, linededup, mixing, packing, quality, tokenfiles
@@ -192,6 +193,15 @@ def test_line_dedup_equals_brute_force(spark):
         assert got[i].text == (None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i]))
 
 
+def test_line_dedup_keys_are_hashes_of_whole_windows():
+    hashes, counts = [5, -3, 9, 5, -3, 9], [20, 20, 20] * 2
+    packed = lambda a, b: xxhash.xxh3_64_intdigest(np.array(hashes[a : b + 1], np.int64).tobytes()) - (1 << 63)
+    got = linededup.fingerprints(hashes, counts, 50)
+    assert sorted(got) == sorted((packed(a, a + 2), a, a + 2) for a in range(4))
+    assert sorted(linededup.fingerprints(hashes[:3], [30, 15, 30], 50)) == [(packed(0, 2), 0, 2)]
+    assert {x[1:] for x in linededup.fingerprints(hashes[:3], [30, 30, 5], 50)} == {(0, 1), (0, 2)}
+
+
 def test_flac(docs):
     rng = np.random.default_rng(1)
     cases = [bytes(rng.integers(0, 256, 576, dtype=np.uint8)), b" " * 192, bytes(192), b"\xff" * 384, flac.payload("héllo"), flac.payload(None), bytes(rng.integers(100, 110, 1920, dtype=np.uint8)), bytes((128 + 60 * np.sin(np.arange(192 * 300) / 30)).astype(np.uint8)), bytes(np.where(np.arange(192) % 50 == 7, 255, 128).astype(np.uint8))]
