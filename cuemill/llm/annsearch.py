@@ -12,8 +12,8 @@ block of rows in a task of its own (a stated query set against all rows, in bloc
 thousands of times can't crowd out others. Each block gives its best k for each query, exactly scored; these
 meet by query in a max-k aggregation.
 
-Cases: vectors that are null, of another length than the sample's first, zero, or with null or non-finite
-components take no part as query or row; a row is never its own neighbour; ties go to the smaller id; fewer
+Cases: vectors that are null, of another length than most (of lengths that are as frequent, than the one with the
+smallest id), zero, or with null or non-finite components take no part as query or row; a row is never its own neighbour; ties go to the smaller id; fewer
 rows than k give all of them; empty tables give an empty result.
 """
 
@@ -102,26 +102,24 @@ def _valid(vectors: list, dim: int) -> np.ndarray:
     return ok
 
 
-def sound(vector: str, dim: int) -> Column:
+def sound(vector: str) -> Column:
     v = F.col(vector)
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    return v.isNotNull() & (F.size(v) == dim) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
+    return v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
 def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each query row."""
     spark = rows.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
-    base = rows.select(F.col(row_id).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v")).filter(F.col("vec_id").isNotNull() & (F.size("v") > 0))
-    first = base.agg(F.min(F.struct("vec_id", F.size("v").alias("d")))).first()[0]
-    if first is None:
+    base = rows.select(F.col(row_id).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v")).filter(F.col("vec_id").isNotNull() & sound("v"))
+    dims = base.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
+    most = dims.orderBy(F.desc("n"), "first").first()
+    if most is None:
         return spark.createDataFrame([], out)
-    dim = first["d"]
-    base = base.filter(sound("v", dim))
+    dim, n = most["dim"], most["n"]
+    base = base.filter(F.size("v") == dim)
     drawn = base.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(sample).select("v").toArrow().column("v").to_pylist()
-    n = base.count()
-    if not n:
-        return spark.createDataFrame([], out)
     codebooks = fit(np.array(drawn, np.float32), books, words)
     blocks = -(-n // block_rows)
 

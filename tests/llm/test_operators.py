@@ -333,6 +333,19 @@ def test_ann(spark):
     assert hit / total >= 0.9
 
 
+def test_ann_dimension_is_the_most_frequent(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 6)).astype(np.float32)
+    rows = [(0, [1.0, 2.0]), (1, [3.0] * 7), (2, [4.0] * 7)] + [(i, x[i].tolist()) for i in range(3, 40)]
+    rows += [(i, [0.0] * 5) for i in range(100, 150)]  # not valid, so their length doesn't count
+    got = annsearch.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id").isin(0, 1, 3, 4), k=5, words=8, books=2).collect()
+    ok = np.arange(3, 40)
+    for q in (3, 4):
+        s = x[ok].astype(float) @ x[q].astype(float)
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == [int(i) for i in ok[np.lexsort((ok, -s))] if i != q][:5]
+    assert {r.query_id for r in got} == {3, 4}
+
+
 def brute(rows, n, percent):
     sets = {}
     for d, t in rows:
