@@ -57,11 +57,11 @@ def primary_hit(hits: Column, with_tier: bool = True) -> Column:
     return F.try_element_at(F.array_sort(keyed), F.lit(1))["h"]
 
 
-def score(rows: DataFrame, rules: list[Rule] | None, max_hits: int = 2, text: str = "text") -> DataFrame:
-    """Rows with 1 to max_hits hits: abbreviations, text_expanded, primary_*, and match_mode for rule-free mining."""
+def score(rows: DataFrame, rules: list[Rule] | None, max_hits: int | None = 2, text: str = "text") -> DataFrame:
+    """Rows with 1 to max_hits hits (None: no limit): abbreviations, text_expanded, primary_*, and match_mode for rule-free mining."""
     found = X.abbreviation_candidates(F.col(text))
     hits = candidate_hits(found) if rules is None else match_rules(found, rules)
-    out = rows.withColumn("abbreviations", hits).filter(F.size("abbreviations").between(1, max_hits))
+    out = rows.withColumn("abbreviations", hits).filter(F.size("abbreviations") >= 1 if max_hits is None else F.size("abbreviations").between(1, max_hits))
     out = out.withColumn("text_expanded", F.col(text) if rules is None else X.expand_readings(F.col(text), F.col("abbreviations"))).filter(F.coalesce("text_expanded", F.lit("")) != "")
     out = out.withColumn("_p", primary_hit(F.col("abbreviations"), rules is not None))
     out = out.withColumns({"primary_abbr": F.col("_p.abbr"), "primary_pron_type": F.col("_p.pron_type"), "primary_confidence_tier": F.col("_p.confidence_tier")}).drop("_p")

@@ -31,14 +31,15 @@ def first_of_key(items: DataFrame, order: list[str], key: str = "dedup_key") ->
     return fixed.join(first, key, "left").filter(F.col("_first").isNull() | (F.col("_o") == F.col("_first"))).drop("_o", "_first")
 
 
-def windowed(items: DataFrame, order: list[str], *, target: int, per_video: int, per_domain: int = 0) -> DataFrame:
-    """items (video_id, domain, dedup_key, order columns) that are selected, with uid from 1."""
+def windowed(items: DataFrame, order: list[str], *, target: int | None, per_video: int | None, per_domain: int = 0) -> DataFrame:
+    """items (video_id, domain, dedup_key, order columns) that are selected, with uid from 1. None is no limit."""
     by = [F.col(c) for c in order]
     out = first_of_key(items, order)
-    out = out.withColumn("_v", F.row_number().over(Window.partitionBy("video_id").orderBy(*by))).filter(F.col("_v") <= per_video)
+    if per_video is not None:
+        out = out.withColumn("_v", F.row_number().over(Window.partitionBy("video_id").orderBy(*by))).filter(F.col("_v") <= per_video).drop("_v")
     if per_domain:
         out = out.withColumn("_d", F.row_number().over(Window.partitionBy("domain").orderBy(*by))).filter(F.col("_d") <= per_domain).drop("_d")
-    top = out.drop("_v").orderBy(*by).limit(target)
+    top = out if target is None else out.orderBy(*by).limit(target)
     return top.withColumn("uid", F.row_number().over(Window.orderBy(*by)).cast("long"))
 
 

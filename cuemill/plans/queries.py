@@ -104,7 +104,7 @@ def abbr_rule_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def primary_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return abbr_items(spark, sf_dir, 10**6).select(F.col("item_id").alias("doc_id"), F.size("abbreviations").alias("n_hits"), "primary_abbr", "primary_pron_type", "primary_confidence_tier")
+    return abbr_items(spark, sf_dir, None).select(F.col("item_id").alias("doc_id"), F.size("abbreviations").alias("n_hits"), "primary_abbr", "primary_pron_type", "primary_confidence_tier")
 
 
 @query
@@ -161,12 +161,12 @@ def dedup_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cap_per_video(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.windowed(_items(spark, sf_dir, "segment"), ["item_id"], target=10**6, per_video=5).select("item_id", "video_id")
+    return select.windowed(_items(spark, sf_dir, "segment"), ["item_id"], target=None, per_video=5).select("item_id", "video_id")
 
 
 @query
 def cap_per_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.windowed(_items(spark, sf_dir, "none"), ["item_id"], target=10**6, per_video=10**6, per_domain=25).select("item_id", "domain")
+    return select.windowed(_items(spark, sf_dir, "none"), ["item_id"], target=None, per_video=None, per_domain=25).select("item_id", "domain")
 
 
 @query

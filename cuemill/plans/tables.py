@@ -54,7 +54,7 @@ def cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(F.col("conv_id").cast("string").alias("video_id"), (F.col("turn") * 100_000 + F.col("k")).alias("cue_idx"), (start / 1000.0).alias("start"), ((start + F.size(own) * WORD_MS - 20) / 1000.0).alias("end"), F.array_join(own, " ").alias("text"))
 
 
-def abbr_items(spark: SparkSession, sf_dir: str, max_hits: int = 3) -> DataFrame:
+def abbr_items(spark: SparkSession, sf_dir: str, max_hits: int | None = 3) -> DataFrame:
     """Documents as segments, with rule-confirmed hits: item_id, video_id (the source), start, end, text and hits."""
     docs = table(spark, sf_dir, "documents")
     base = docs.select(F.col("doc_id").alias("item_id"), F.coalesce("source", F.lit("")).alias("video_id"), F.coalesce("lang", F.lit("")).alias("source_domain"), (F.col("doc_id") * 10.0).alias("start"), (F.col("doc_id") * 10.0 + 5.0).alias("end"), F.coalesce("text", F.lit("")).alias("text"))

@@ -4,7 +4,8 @@ import random
 from pyspark.sql import functions as F
 
 from cuemill.functions import patterns as P
-from cuemill.operators import select
+from cuemill.operators import abbr, select
+from cuemill.plans import queries
 from cuemill.sources.files import denylist, next_pool, seed_sources
 from cuemill.sources.subtitles import expand_urls, manual_language
 from cuemill.streaming import monitor
@@ -19,6 +20,33 @@ def test_windowed_equals_sequential_where_laminar(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_caps_have_no_other_limit(spark, monkeypatch):
+    n = 1_000_003
+    items = spark.range(n).select(F.col("id").alias("item_id"), F.lit("a").alias("video_id"), F.lit("x").alias("domain"), F.col("id").cast("string").alias("dedup_key"))
+    monkeypatch.setattr(queries, "_items", lambda *_: items.withColumn("video_id", F.col("dedup_key")))
+    assert queries.cap_per_video(spark, "").count() == n
+    late = items.withColumn("domain", F.when(F.col("item_id") == n - 1, "y").otherwise("x"))  # past the first million of its source
+    monkeypatch.setattr(queries, "_items", lambda *_: late)
+    assert sorted(map(tuple, queries.cap_per_domain(spark, "").collect())) == [*((i, "x") for i in range(25)), (n - 1, "y")]
+
+
+def test_windowed_without_limits(spark):
+    items = spark.createDataFrame([(i, "v", "d", None) for i in range(7)], "item_id long, video_id string, domain string, dedup_key string")
+    assert [r.uid for r in select.windowed(items, ["item_id"], target=None, per_video=None).orderBy("item_id").collect()] == [*range(1, 8)]
+
+
+def test_primary_hit_has_no_limit_of_hits(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(abbr, "score", lambda rows, rules, max_hits=2, text="text": asked.append(max_hits))
+    docs = spark.createDataFrame([(1, "a", "s", "en")], "doc_id long, text string, source string, lang string")
+    monkeypatch.setattr("cuemill.plans.tables.table", lambda *_: docs)
+    try:
+        queries.primary_hit(spark, "")
+    except AttributeError:  # the stub has no rows
+        pass
+    assert asked == [None]
+
+
 def test_quotas_relax_when_all_are_filled(spark):
     rows = [(i, str(i), None, ["x" if i < 6 else "y"], "x" if i < 6 else "y") for i in range(9)]
     items = spark.createDataFrame(rows, "item_id long, video_id string, dedup_key string, pron array<string>, primary_pron string")
