@@ -2,15 +2,19 @@
 
 A vector is the sum of one codeword from each of several full-dimensional codebooks. Codebooks are fitted one
 after another to the residuals of a bounded sample (k-means); encoding is a beam search over the codebooks that
-keeps the `beam` partial sums nearest to the vector. Codes and the norm of the coded vector are stored for every
-row. A query's inner products with all codewords make a lookup table; a candidate's score is the sum of its
-codewords' entries (with the stored norm, a distance). The best candidates of each block are reranked with
-exact inner products in double precision.
+keeps the `beam` partial sums nearest to the vector. Codes are stored for every row, with the ratio of the vector's norm
+to that of the coded vector. A query's inner products with all codewords make a lookup table; a candidate's score is
+the sum of its codewords' entries times that ratio, for a coded vector points the right way but is too short. The best
+share `rerank` of a block's candidates (not fewer than 3 k) is reranked with exact inner products in double precision;
+being a share, it leaves the same part of the choice to the codes at any size.
 
 Layout: rows and query rows are dealt by hashes into blocks of bounded size, and every block of queries meets every
-block of rows in a task of its own (a stated query set against all rows, in blocks). Equal vectors of a block count as one candidate, so a vector that repeats
-thousands of times can't crowd out others. Each block gives its best k for each query, exactly scored; these
-meet by query in a max-k aggregation.
+block of rows in a task of its own (a stated query set against all rows, in blocks). Query blocks hold eight times as
+many rows as the others, since queries are few, so that rows are copied once for every 65,536 queries. Equal vectors of
+a block count as one candidate, so a vector that repeats thousands of times can't crowd out others. Each block gives its
+best k for each query, exactly scored; these meet by query in a max-k aggregation. Work grows with rows times queries: a
+coarse partition would have to visit nearly half of its lists for nine in ten of the neighbours of vectors without
+clusters (README), so there is none.
 
 Cases: vectors that are null, of another length than most (of lengths that are as frequent, than the one with the
 smallest id), zero, or with null or non-finite components take no part as query or row; a row is never its own neighbour; ties go to the smaller id; fewer
@@ -19,6 +23,7 @@ rows than k give all of them; empty tables give an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +36,8 @@ from .common import staged
 
 #: Rows in the training sample, codebooks, codewords, and partial sums kept by the beam search.
 SAMPLE, BOOKS, WORDS, BEAM = 4096, 12, 128, 4
-#: Most rows and query rows of a task, on average, and candidates reranked for each query.
-BLOCK_ROWS, QUERY_ROWS, RERANK = 16384, 8192, 1500
+#: Most rows and query rows of a task, on average, and the share of a block's candidates reranked for each query.
+BLOCK_ROWS, QUERY_ROWS, RERANK = 8192, 65536, 0.1
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 6) -> np.ndarray:
@@ -93,22 +98,13 @@ def table_scores(queries: np.ndarray, codes: np.ndarray, codebooks: np.ndarray)
     return out
 
 
-def _valid(vectors: list, dim: int) -> np.ndarray:
-    ok = np.zeros(len(vectors), bool)
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) == dim and None not in v:
-            a = np.asarray(v, np.float64)
-            ok[i] = bool(np.isfinite(a).all() and a.any())
-    return ok
-
-
 def sound(vector: str) -> Column:
     v = F.col(vector)
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     return v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
-def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec_id", vector: str = "embedding", rerank: int = RERANK, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, beam: int = BEAM) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec_id", vector: str = "embedding", rerank: float = RERANK, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, sample: int = SAMPLE, books: int = BOOKS, words: int = WORDS, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each query row."""
     spark = rows.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
@@ -127,9 +123,10 @@ def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec
         for batch in batches:
             x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
             codes, norms = zip(*(encode(x[i : i + 1024], codebooks, beam) for i in range(0, len(x), 1024)), strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array([c.tobytes() for c in np.concatenate(codes)], pa.binary()), pa.array(np.concatenate(norms).astype(np.float32)), batch.column("q")], ["vec_id", "v", "code", "norm", "q"])
+            stretch = np.sqrt((x.astype(np.float64) ** 2).sum(1) / np.maximum(np.concatenate(norms), 1e-30))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array([c.tobytes() for c in np.concatenate(codes)], pa.binary()), pa.array(stretch.astype(np.float32)), batch.column("q")], ["vec_id", "v", "code", "stretch", "q"])
 
-    coded = base.withColumn("q", F.coalesce(is_query, F.lit(False))).mapInArrow(index, "vec_id long, v array<float>, code binary, norm float, q boolean")
+    coded = base.withColumn("q", F.coalesce(is_query, F.lit(False))).mapInArrow(index, "vec_id long, v array<float>, code binary, stretch float, q boolean")
     coded = staged(coded, "ann-index")
     query_blocks = max(1, -(-coded.filter("q").count() // query_rows))
     place = lambda seed, n: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
@@ -151,10 +148,11 @@ def search(rows: DataFrame, is_query: Column, *, k: int = 20, row_id: str = "vec
         codes = np.stack([np.frombuffer(c, np.uint8 if words <= 256 else np.uint16) for c in held["code"].to_numpy()[at]])
         exact = x[at].astype(np.float64)
         found = []
-        keep = min(len(at), max(rerank, k + 1))
+        stretch = held["stretch"].to_numpy()[at]
+        keep = min(len(at), max(math.ceil(rerank * len(at)), 3 * k))
         for i in range(0, len(asked), 256):
             q = np.stack(asked["v"].to_numpy()[i : i + 256]).astype(np.float32)
-            rough = table_scores(q, codes, codebooks)
+            rough = table_scores(q, codes, codebooks) * stretch
             near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < len(at) else np.tile(np.arange(len(at)), (len(q), 1))
             for own, v, c in zip(asked["vec_id"].to_numpy()[i : i + 256], q.astype(np.float64), near, strict=True):
                 s = exact[c] @ v
