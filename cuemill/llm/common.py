@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -17,16 +18,21 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _made: dict[str, list[str]] = {}
+_local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session; where it is unset
-    (tests, one machine) a temporary folder becomes the checkpoint folder of this application."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Where it is unset and the master is this
+    machine (tests), a temporary folder is made; on a cluster that is an error, since no other machine would see it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="cuemill-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    if base:
+        return base
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="cuemill-")
+    return _local[app]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -125,5 +131,12 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 <<
     release_memory()
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, with as many underscores before them as make them differ from all taken ones, whatever their case."""
+    held, out = {x.lower() for x in taken}, []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in held:
+            name = f"_{name}"
+        out.append(name)
+    return out
