@@ -1,19 +1,26 @@
-"""Line deduplication by hashes of whole windows of lines.
+"""Line deduplication by winnowing over line hashes.
 
 A document is the sequence of its lines with words. A window is a run of lines that has `min_words` words and would
 not without its last line (counted from its first line) or without its first line (counted back from its last).
-Every window is filed under a hash of its content (no minima are selected, so this isn't winnowing). Every line of a
-run of at least `min_words` words lies in a window inside the run: the one that starts with it, or where too few
-words follow, the one that ends with the run. So the lines of the windows that an earlier place has are just the
-lines of the runs that an earlier place has, whichever place that is; they are deleted. Lines outside such runs stay,
-however often they repeat.
+Of every window the line with the least hash is selected (of equal ones the last), each line once however many windows
+select it: these are the fingerprints. A run of `min_words` words or more that two places share contains a whole window,
+and both places select the same line of it, so they meet in a fingerprint: detection is guaranteed.
 
-What is joined is fingerprints. Texts don't move for it; one join at the end brings the lines to delete to the
-documents, as a broadcast where they are few.
+Positions are joined by the selected line's hash. Where a hash has at most `PAIRS` positions, every later one meets every
+earlier one; meetings of the same two documents at the same distance are one match, which is extended both ways over
+the documents' line hashes, and kept as a run if it has `min_words` words. Hashes with more positions (a common line,
+thousands of copies) would give pairs without end. There the windows that selected the line stand for it: windows are
+joined by the hash of their whole content to the first place that has it, and windows that overlap make up the run.
+Every line of a run lies in a window inside the run, so both ways delete the same lines: those of all runs that an
+earlier place has, whichever place that is. Lines outside such runs stay, however often they repeat.
+
+What is joined is positions and line hashes. Texts don't move for it; one join at the end brings the lines to delete to
+the documents, as a broadcast where they are few.
 
 Cases: null and empty texts stay as they are; blank lines match nothing and stay; documents are ordered by doc_id
 (null first), then by text hash; equal rows (id and text) are one document, so repeated rows keep the same
-lines; a document that is wholly repeated becomes an empty text; other columns pass through.
+lines; a document that is wholly repeated becomes an empty text; a very long text is one row of line hashes; an empty
+table gives an empty one; other columns pass through, whatever their names, but for n_lines and n_removed.
 """
 
 from __future__ import annotations
@@ -26,9 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_join, row_slices, staged, text_slices
+from .common import bounded_join, drop_staged, free_names, row_slices, staged, text_slices
 
 MIN_WORDS = 50
+#: Most positions of a line hash that are paired with one another; beyond it windows are joined instead, with the same result.
+PAIRS = 8
 _KEYS = ["_doc", "_text"]
 
 
@@ -45,14 +54,9 @@ def line_rows(text: str | None) -> tuple[list[int], list[int], list[int]]:
     return at, hashes, words
 
 
-def fingerprints(hashes: list[int], words: list[int], least: int) -> list[tuple[int, int, int]]:
-    """(key, first line, last line) of each window: the key is a hash of the window's line hashes."""
+def windows(words: list[int], least: int) -> list[tuple[int, int]]:
+    """(first line, last line) of each window."""
     out = []
-    packed = np.array(hashes, np.int64).tobytes()
-
-    def file(start: int, end: int) -> None:
-        out.append((xxhash.xxh3_64_intdigest(packed[8 * start : 8 * end]) - (1 << 63), start, end - 1))
-
     end, held = 0, 0
     for start in range(len(words)):
         while end < len(words) and held < least:
@@ -60,7 +64,7 @@ def fingerprints(hashes: list[int], words: list[int], least: int) -> list[tuple[
             end += 1
         if held < least:
             break
-        file(start, end)
+        out.append((start, end - 1))
         held -= words[start]
     start, held = 0, 0
     for end, n in enumerate(words, 1):
@@ -68,21 +72,43 @@ def fingerprints(hashes: list[int], words: list[int], least: int) -> list[tuple[
         while start + 1 < end and held - words[start] >= least:
             held -= words[start]
             start += 1
-        if held - n >= least:  # else it is filed by its start, or too short
-            file(start, end)
+        if held - n >= least:  # else it is a window from its start, or too short
+            out.append((start, end - 1))
     return out
 
 
-def covered(starts: list[int], ends: list[int]) -> list[int]:
-    """The lines of windows [start, end], each once, ascending."""
-    out: list[int] = []
-    for a, b in sorted(zip(starts, ends, strict=True)):
-        out += range(max(a, out[-1] + 1) if out else a, b + 1)
+def winnow(hashes: list[int], words: list[int], least: int) -> dict[int, list[tuple[int, int]]]:
+    """The selected lines, and the windows that selected each."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for a, b in windows(words, least):
+        chosen = min(range(b, a - 1, -1), key=hashes.__getitem__)
+        out.setdefault(chosen, []).append((a, b))
     return out
 
 
-def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """_doc, _text (the keys of a document) and _cut, the numbers of its lines that repeat an earlier run."""
+def extend(later: list[int], words: list[int], earlier: list[int], shift: int, places: list[int], least: int) -> list[tuple[int, int]]:
+    """Runs of `later` around the places that equal the lines `shift` before in `earlier` and have the words needed."""
+    out: list[tuple[int, int]] = []
+    for p in sorted(places):
+        if out and p <= out[-1][1]:
+            continue
+        a = b = p
+        while a and a > shift and later[a - 1] == earlier[a - 1 - shift]:
+            a -= 1
+        while b + 1 < len(later) and b + 1 - shift < len(earlier) and later[b + 1] == earlier[b + 1 - shift]:
+            b += 1
+        out.append((a, b))
+    return [(a, b) for a, b in out if sum(words[a : b + 1]) >= least]
+
+
+def gone_lines(runs: list[tuple[int, int]], at: list[int]) -> list[bool]:
+    """For each line of the text up to the last one that goes: whether it does."""
+    cut = {at[i] for a, b in runs for i in range(a, b + 1)}
+    return [i in cut for i in range(max(cut, default=-1) + 1)]
+
+
+def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int = PAIRS) -> DataFrame:
+    """_doc, _text (the keys of a document) and _gone, which of its lines repeat an earlier run."""
     keyed = docs.select(*_key_columns(), "text")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,44 +121,65 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            docs_, texts_, keys, starts, ends = [], [], [], [], []
+            rows = []
             for d, t, h, w in zip(*(batch.column(c).to_pylist() for c in ("_doc", "_text", "h", "w")), strict=True):
-                found = fingerprints(h, w, min_words)
-                docs_ += [d] * len(found)
-                texts_ += [t] * len(found)
-                keys += [x[0] for x in found]
-                starts += [x[1] for x in found]
-                ends += [x[2] for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in ((keys, pa.int64()), (docs_, pa.int64()), (texts_, pa.int64()), (starts, pa.int32()), (ends, pa.int32()))], ["key", *_KEYS, "start", "end"])
-
-    prints = staged(held.select(*_KEYS, "h", "w").mapInArrow(select, "key long, _doc long, _text long, start int, end int"), "fingerprints")
+                packed = np.array(h, np.int64).tobytes()
+                for p, own in winnow(h, w, min_words).items():
+                    rows.append((h[p], d, t, p, [xxhash.xxh3_64_intdigest(packed[8 * a : 8 * b + 8]) - (1 << 63) for a, b in own], [a for a, _ in own], [b for _, b in own]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], ["key", *_KEYS, "p", "windows", "starts", "ends"])
+
+    prints = staged(held.select(*_KEYS, "h", "w").dropDuplicates(_KEYS).mapInArrow(select, "key long, _doc long, _text long, p int, windows array<long>, starts array<int>, ends array<int>"), "fingerprints")
     # tables that are joined to hot keys are staged: between two plain shuffles a skewed join can be split
-    first = staged(prints.groupBy("key").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "s"), "first-places")
-    later = prints.join(first, "key").filter(F.struct(*_KEYS, "start") != F.col("s"))
-    found = staged(later.groupBy(*_KEYS).agg(F.collect_set(F.struct("start", "end")).alias("windows")), "line-matches")
-    own = staged(held.dropDuplicates(_KEYS).select(*_KEYS, "at"), "line-numbers")
+    counts = staged(prints.groupBy("key").count().filter("count > 1"), "positions")
+    own = staged(held.dropDuplicates(_KEYS), "line-rows")
+
+    few = prints.select("key", *_KEYS, "p").join(counts.filter(F.col("count") <= pairs), "key")
+    met = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_KEYS, "p"))).alias("x"))
+    each = met.select(F.posexplode("x").alias("i", "later"), "x").select("later", F.explode(F.slice("x", F.lit(1), F.col("i"))).alias("earlier"))
+    shift = (F.col("later.p") - F.col("earlier.p")).alias("shift")
+    matches = each.groupBy(F.col("later._doc").alias("_doc"), F.col("later._text").alias("_text"), F.col("earlier._doc").alias("e_doc"), F.col("earlier._text").alias("e_text"), shift).agg(F.collect_set("later.p").alias("places"))
+    early = own.select(F.col("_doc").alias("e_doc"), F.col("_text").alias("e_text"), F.col("h").alias("e"))
+    both = matches.join(early, ["e_doc", "e_text"]).join(own.select(*_KEYS, "h", "w"), _KEYS).select(*_KEYS, "shift", "places", "h", "w", "e")
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_slices(batches):
+            rows = [(d, t, a, b) for d, t, s, p, h, w, e in zip(*(batch.column(c).to_pylist() for c in (*_KEYS, "shift", "places", "h", "w", "e")), strict=True) for a, b in extend(h, w, e, s, p, min_words)]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)], [*_KEYS, "start", "end"])
+
+    extended = both.mapInArrow(stretch, "_doc long, _text long, start int, end int")
+
+    many = prints.join(counts.filter(F.col("count") > pairs).select("key"), "key").select(*_KEYS, F.explode(F.arrays_zip("windows", "starts", "ends")).alias("x"))
+    many = staged(many.select(F.col("x.windows").alias("window"), *_KEYS, F.col("x.starts").alias("start"), F.col("x.ends").alias("end")), "windows")
+    first = staged(many.groupBy("window").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("window", "s"), "first-places")
+    again = many.join(first, "window").filter(F.struct(*_KEYS, "start") != F.col("s")).select(*_KEYS, "start", "end")
+
+    found = staged(extended.unionByName(again).groupBy(*_KEYS).agg(F.collect_set(F.struct("start", "end")).alias("runs")), "line-matches")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            cuts = [[at[i] for i in covered([w["start"] for w in windows], [w["end"] for w in windows])] for windows, at in zip(*(batch.column(c).to_pylist() for c in ("windows", "at")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), pa.array(cuts, pa.list_(pa.int32()))], [*_KEYS, "_cut"])
+            gone = [gone_lines([(x["start"], x["end"]) for x in runs], at) for runs, at in zip(*(batch.column(c).to_pylist() for c in ("runs", "at")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), pa.array(gone, pa.list_(pa.bool_()))], [*_KEYS, "_gone"])
 
-    return found.join(own, _KEYS).select(*_KEYS, "windows", "at").mapInArrow(gather, "_doc long, _text long, _cut array<int>")
+    out = staged(found.join(own.select(*_KEYS, "at"), _KEYS).select(*_KEYS, "runs", "at").mapInArrow(gather, "_doc long, _text long, _gone array<boolean>"), "gone-lines")
+    drop_staged(held, prints, counts, own, many, first, found)
+    return out
 
 
 def _key_columns() -> list:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_text")]
 
 
-def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int = PAIRS) -> DataFrame:
     """docs with the text that stays, n_lines of the text before and n_removed."""
     docs = docs.drop("n_lines", "n_removed")
-    cut = staged(repeated_lines(docs, min_words=min_words), "cut-lines")
-    joined = bounded_join(docs.withColumns({c: k for c, k in zip(_KEYS, _key_columns(), strict=True)}), cut, _KEYS, "left")
+    doc, text, gone = free_names(docs.columns, "doc", "text", "gone")
+    cut = repeated_lines(docs, min_words=min_words, pairs=pairs).withColumnsRenamed({"_doc": doc, "_text": text, "_gone": gone})
+    joined = bounded_join(docs.withColumns(dict(zip((doc, text), _key_columns(), strict=True))), cut, [doc, text], "left")
     lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_cut", i)), "\n")
-    n_lines = F.coalesce(F.size(lines), F.lit(0))
-    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long")).withColumn("n_removed", F.coalesce(F.size("_cut"), F.lit(0)).cast("long"))
-    out = out.withColumn("n_removed", F.greatest(F.col("n_removed"), F.lit(0).cast("long")))
-    out = out.withColumn("text", F.when(F.col("_cut").isNotNull(), kept).otherwise(F.col("text")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_lines", "n_removed")
+    kept = F.array_join(F.zip_with(lines, gone, lambda x, g: F.when(~F.coalesce(g, F.lit(False)), x)), "\n")  # without nulls
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_removed = F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.filter(gone, lambda g: g))).cast("long")
+    kept = F.when(F.col(gone).isNotNull(), kept).otherwise(F.col("text"))
+    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], n_lines.alias("n_lines"), n_removed.alias("n_removed"))
