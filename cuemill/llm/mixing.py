@@ -10,7 +10,8 @@ of a source's documents, the ranges' sums are accumulated, and only the range in
 ordered by document.
 
 Cases: null text has size 0 and is taken 0 words; a null source is a source of its own, after all others; an
-empty table gives an empty mix; repeated rows are documents of their own; other columns pass through `mix`.
+empty table gives an empty mix; repeated rows are documents of their own; a very long text counts like any other;
+other columns pass through `mix`, whatever their names, but for the five that it adds.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_join, staged, word_count
+from .common import bounded_join, free_names, staged, word_count
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 _KEY, _HASH, _SIZE = "_mix_source", "_mix_hash", "_mix_size"
+_GIVEN = ("source_size", "target", "whole", "ranges", "end_range", "rest")
 
 
 def source_key(source: str) -> Column:
@@ -90,27 +92,30 @@ def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source:
     Columns of docs with these names are replaced. carry_text=False leaves the text out, so that it isn't moved.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
-    keyed = docs.withColumns({_KEY: source_key(source), _HASH: order_hash(doc_id, seed), _SIZE: word_count(text)})
+    names = [c for c in docs.columns if carry_text or c != text]
+    # all columns of docs travel in one struct, so that none of theirs can clash with a helper's
+    row, held = "_mix_row", F.struct(*[F.col(f"`{c}`") for c in names])
+    keyed = docs.select(held.alias(row), F.col(doc_id).alias("_mix_id"), source_key(source).alias(_KEY), order_hash(doc_id, seed).alias(_HASH), word_count(text).alias(_SIZE))
     if not carry_text:
-        keyed = staged(keyed.drop(text), "mix-docs")
+        keyed = staged(keyed, "mix-docs")
         narrow = keyed.select(_KEY, _HASH, _SIZE)
     else:
         narrow = staged(keyed.select(_KEY, _HASH, _SIZE), "mix-sizes")
-    sources = plan(narrow, max_epochs, weights).withColumnRenamed("key", _KEY).select(_KEY, "source_size", "target", "whole", "ranges", "end_range", "rest")
-    names = [c for c in keyed.columns if c not in (_KEY, _HASH, _SIZE)]
+    sources = plan(narrow, max_epochs, weights).withColumnRenamed("key", _KEY).select(_KEY, *_GIVEN)
     x = bounded_join(keyed, sources, [_KEY], "inner").withColumn("_mix_range", _range())
     # Only the rows of the range in which a source's fraction ends are ordered. Other rows stay where they are.
     at_end = F.col("_mix_range") == F.col("end_range")
     inner = x.filter(at_end)
-    running = Window.partitionBy(_KEY).orderBy(_HASH, F.col(doc_id), _SIZE).rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy(_KEY).orderBy(_HASH, "_mix_id", _SIZE).rowsBetween(Window.unboundedPreceding, -1)
     extra = F.coalesce(F.sum(_SIZE).over(running), F.lit(0)) + F.col(_SIZE) / 2 <= F.col("rest")
     outer = x.filter(~at_end).withColumn("_mix_more", (F.col("_mix_range") < F.col("end_range")).cast("long"))
     both = inner.withColumn("_mix_more", extra.cast("long")).unionByName(outer)
     copies = F.col("whole") + F.col("_mix_more")
-    return both.select(*[F.col(f"`{c}`") for c in names], F.col(_SIZE).alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col(_SIZE)).alias("taken"))
+    return both.select(*[F.col(f"{row}.`{c}`").alias(c) for c in names], F.col(_SIZE).alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col(_SIZE)).alias("taken"))
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
     """One row for every repetition that the mix takes; rows with no copies go."""
     names = [c for c in mixed.columns if c not in ("size", "source_size", "target", "copies", "taken")]
-    return mixed.filter("copies > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in names])
+    (copy,) = free_names(mixed.columns, "copy")
+    return mixed.filter("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in names])
