@@ -1,17 +1,20 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives are documents labelled good; unlabelled ones are a sample of web text whose labels, if any,
-aren't looked at. A linear scorer minimises the non-negative unbiased risk
+aren't looked at, and no label of a bad document is. A linear scorer minimises the non-negative unbiased risk
     pi * R_p(+) + max(0, R_u(-) - pi * R_p(-))
-under the sigmoid loss (Kiryo et al., 2017), where the class prior pi is estimated as the share of good ones
-among the labelled training rows. Features are counts of a whole text: shares of byte classes and of each ASCII
-sign, lengths of words and lines, repetition of words and lines. Nothing but the text enters a score.
+under the sigmoid loss (Kiryo et al., 2017). The class prior pi is estimated from the two samples alone: the least ratio
+of the shares of unlabelled and of positive rows that lie above a threshold of a score that tells the two samples
+apart (Scott, 2015), on rows that this score wasn't fitted to. Features are counts of a whole text: shares of byte
+classes and of each ASCII sign, lengths of words and lines, repetition of words and lines. Nothing but the text enters
+a score.
 
-Fitting reads a bounded sample (SAMPLE rows of either kind, in the order of a hash); scoring is one pass over
-all texts with no shuffle.
+Fitting reads a bounded sample (SAMPLE rows of either kind, in the order of a hash; of ids that repeat, rows and not ids
+are counted); scoring is one pass over all texts with no shuffle.
 
 Cases: null texts are scored like empty ones; without any positives every score is 0.5, which keeps documents;
-empty tables give empty results; columns of docs pass through `score`, but for score and predicted.
+repeated rows get equal scores; a very long text is read whole, by one task; empty tables give empty results; columns of
+docs pass through `score`, whatever their names, but for score and predicted.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_crc, text_slices
+from .common import doc_crc, staged, text_slices
 
 #: Most rows in the training sample, of positives and of unlabelled rows each.
 SAMPLE = 6000
@@ -77,36 +80,57 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     return {"centre": centre, "scale": scale, "w": w, "b": float(b)}
 
 
+def risk(model: dict, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """The non-negative risk of a model."""
+    p, u = (1 / (1 + np.exp(-_margin(model, x))) for x in (positive, unlabelled))
+    return float(prior * (1 - p).mean() + max(0.0, u.mean() - prior * p.mean()))
+
+
+def _margin(model: dict, x: np.ndarray) -> np.ndarray:
+    return np.clip(np.clip((x - model["centre"]) / model["scale"], -6, 6) @ model["w"] + model["b"], -30, 30)
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.3) -> float:
+    """The share of positives among the unlabelled rows. Thresholds leave at least `least` of the positives above."""
+    apart = fit_pu(positive[::2], unlabelled[::2], 0.5, steps=300)
+    p, u = (np.sort(_margin(apart, x[1::2] if len(x) > 1 else x)) for x in (positive, unlabelled))
+    cut = p[: max(1, int(len(p) * (1 - least)))]
+    above_p = 1 - np.searchsorted(p, cut) / len(p)
+    above_u = 1 - np.searchsorted(u, cut) / len(u)
+    return float(min(0.98, max(0.02, (above_u / above_p).min())))
+
+
 def _sample(rows: DataFrame, n: int) -> DataFrame:
     """At most n ids, spread by a hash: the same ones in every run."""
     return rows.groupBy("doc_id").count().select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(n)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, sample: int = SAMPLE) -> dict | None:
-    """docs: doc_id, text. labels: doc_id, quality. train: condition on doc_id for rows to learn from (all)."""
-    spark = docs.sparkSession
-    train = F.lit(True) if train is None else train
-    held = labels.select("doc_id", "quality").filter(train & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    good, known = held.agg(F.sum((F.col("quality") == 1).cast("long")), F.count("*")).first()
-    if not good:
-        return None
-    ids = [r[0] for r in _sample(held.filter("quality = 1"), sample).collect()]
-    webs = [r[0] for r in _sample(docs.select("doc_id").filter(train & F.col("doc_id").isNotNull()), sample).collect()]
-    wanted = spark.createDataFrame([(x, 1) for x in ids] + [(x, 0) for x in webs], "doc_id long, positive int")
-    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id")  # at most 2 * sample rows
+def training_rows(docs: DataFrame, labels: DataFrame, train: Column, sample: int) -> DataFrame:
+    """positive, x: features of at most `sample` rows of documents labelled good, and of as many of any documents."""
+    good = labels.select(F.col("doc_id").cast("long"), "quality").filter(train & (F.col("quality") == 1))
+    web = docs.select(F.col("doc_id").cast("long")).filter(train & F.col("doc_id").isNotNull())
+    wanted = _sample(good.filter("doc_id is not null"), sample).withColumn("positive", F.lit(1)).unionByName(_sample(web, sample).withColumn("positive", F.lit(0)))
+    picked = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id")  # at most 2 * sample ids
+    picked = picked.withColumn("h", F.xxhash64("doc_id", "text", F.lit(7)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"), pa.array(list(feature_rows(texts)), pa.list_(pa.float64()))], ["doc_id", "positive", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("positive"), pa.array(list(feature_rows(texts)), pa.list_(pa.float64()))], ["h", "positive", "x"])
+
+    rows = picked.mapInArrow(run, "h long, positive int, x array<double>")
+    first = lambda kind: rows.filter(F.col("positive") == kind).orderBy("h", "x").limit(sample)
+    return first(1).unionByName(first(0))
 
-    rows = picked.mapInArrow(run, "doc_id long, positive int, x array<double>").toArrow()
-    x, kind = np.array(rows.column("x").to_pylist()), np.array(rows.column("positive").to_pylist())
-    order = np.lexsort((*x.T[:4], kind, np.array(rows.column("doc_id").to_pylist())))
-    x, kind = x[order], kind[order]
+
+def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, sample: int = SAMPLE) -> dict | None:
+    """docs: doc_id, text. labels: doc_id, quality. train: condition on doc_id for rows to learn from (all)."""
+    rows = staged(training_rows(docs, labels, F.lit(True) if train is None else train, sample), "quality-sample")
+    table = rows.orderBy("positive", "h", "x").toArrow()  # at most 2 * sample rows
+    x, kind = np.array(table.column("x").to_pylist()), np.array(table.column("positive").to_pylist())
     if not (kind == 1).any():
         return None
-    unlabelled = x[kind == 0] if (kind == 0).any() else x
-    return fit_pu(x[kind == 1], unlabelled, min(0.98, max(0.02, good / known)))
+    positive, unlabelled = x[kind == 1], x[kind == 0]
+    return fit_pu(positive, unlabelled, class_prior(positive, unlabelled))
 
 
 def score(docs: DataFrame, model: dict | None, *, text: str = "text") -> DataFrame:
@@ -118,8 +142,7 @@ def score(docs: DataFrame, model: dict | None, *, text: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, text):
-            z = np.clip((feature_rows(texts) - model["centre"]) / model["scale"], -6, 6) @ model["w"] + model["b"]
-            s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            s = 1 / (1 + np.exp(-_margin(model, feature_rows(texts))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
     return docs.mapInArrow(run, schema)
