@@ -9,7 +9,9 @@ Profiles come from a bounded sample for each language (about SAMPLE documents, t
 that follows from the language's count); prediction is one pass over all texts with no shuffle.
 
 Cases: null texts and texts without a letter are `und` with score 0; without any profile all are; null
-languages aren't learned; ties in counts go by n-gram.
+languages aren't learned; of more than `languages` different values those with most documents are, ties to the smaller;
+ties in counts go by n-gram; repeated rows count each; a very long text is read whole, by one task; an empty table gives
+an empty result; columns of docs pass through, whatever their names, but for lang_pred and score.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_crc, text_slices
+from .common import doc_crc, staged, text_slices
 
 TOP = 300
 #: Expected number of documents for each language in the training sample.
 SAMPLE = 1500
+#: Most languages that get a profile.
+LANGUAGES = 1000
 _letters: np.ndarray | None = None
 
 
@@ -89,18 +93,13 @@ class Profiles:
         return self.names[best], float(1 - out[best] / (self.top * len(own)))
 
 
-def fit(docs: DataFrame, *, train: Column | None = None, sample: int = SAMPLE, top: int = TOP) -> Profiles:
+def fit(docs: DataFrame, *, train: Column | None = None, sample: int = SAMPLE, top: int = TOP, languages: int = LANGUAGES) -> Profiles:
     """docs: doc_id, text, lang. train: condition on the rows to learn from."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows if train is None else rows.filter(train)
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row for each language
-    if not counts:
-        return Profiles({}, top)
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
+    shares = staged(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang", (F.lit(float(sample)) / F.col("count")).alias("share")), "language-shares")
     u = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.filter(u < share).select("lang", "text")
+    picked = rows.join(F.broadcast(shares), "lang").filter(u < F.col("share")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, dict[int, int]] = {}
