@@ -8,10 +8,15 @@ all frames are decoded one sample position at a time. Any other FLAC stream (ste
 wasted bits, other widths) goes through `decode_stream`, a plain decoder of the whole format but for 32-bit
 side channels. A check sum that fails raises ValueError.
 
-`store` adds the media column, `blocks` gives PCM blocks with their sample and byte offsets, `features` reads the
-stored bytes back. All are one pass with no shuffle.
-
-Cases: null payloads are empty; empty ones are one block of spaces; equal payloads give equal media.
+`store` adds the media column and a seek table: the byte offset of every SEEK-th frame. `write_media` writes both to the
+shared folder and reads them back; from there `features` decodes everything, checking the seek table, `blocks` gives the
+PCM blocks between its offsets, and `read_samples` decodes only the blocks that hold the samples asked for. All are
+passes with no shuffle. Long payloads are coded a million samples at a time, and decoded likewise, so that memory
+beyond the stream itself is bounded.
+
+Cases: null texts are empty; empty ones are one block of spaces; equal payloads give equal media, also repeated rows;
+an empty table gives an empty one; a row without media raises ValueError; very long texts are one stream; other columns
+pass through `store`, whatever their names, but for n_bytes, media and seek.
 """
 
 from __future__ import annotations
@@ -26,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import staged, text_slices
 
 BLOCK, RATE = 192, 16000
+#: Frames between two offsets of the seek table, and frames that are coded or decoded at once.
+SEEK, TOGETHER = 16, 5000
 _HEAD = bytes([0xFF, 0xF8, 0x10, 0x02])  # fixed blocks of 192, rate as in STREAMINFO, mono, 8 bits
 #: Longest run of zeros in a Rice code of ours: any code then fits into 25 bits.
 _LONGEST = 15
@@ -75,16 +82,9 @@ def _number(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def encode_payloads(payloads: list[bytes]) -> list[bytes]:
-    """payloads: each a positive multiple of 192 bytes. A FLAC stream for each."""
-    if any(not p or len(p) % BLOCK for p in payloads):
-        raise ValueError(f"payloads must be positive multiples of {BLOCK} bytes")
-    data = np.frombuffer(b"".join(payloads), np.uint8)
+def _frames(data: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Frames of samples (bytes of unsigned 8-bit samples, whole blocks) with the given numbers, and their lengths."""
     x = data.reshape(-1, BLOCK).astype(np.int32) - 128
-    n = len(x)
-    per = np.array([len(p) // BLOCK for p in payloads])
-    first = np.cumsum(per) - per
-    number = np.arange(n) - np.repeat(first, per)
     # residuals of the orders, warm-up samples as they are
     d1 = np.diff(x, axis=1)
     d2 = np.diff(d1, axis=1)
@@ -153,18 +153,38 @@ def encode_payloads(payloads: list[bytes]) -> list[bytes]:
     out[begin + head - 1] = _crcs(out, begin, head - 1, _CRC8, 8)
     crc = _crcs(out, begin, length - 2, _CRC16, 16)
     out[begin + length - 2], out[begin + length - 1] = crc >> 8, crc & 0xFF
-    flat = out.tobytes()
-    ends = np.append(begin, total)
+    return out.tobytes(), length
+
+
+def encode_with_places(payloads: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
+    """payloads: each a positive multiple of 192 bytes. A FLAC stream for each, and the byte offsets of its frames."""
+    if any(not p or len(p) % BLOCK for p in payloads):
+        raise ValueError(f"payloads must be positive multiples of {BLOCK} bytes")
+    if not payloads:
+        return []
+    data = np.frombuffer(b"".join(payloads), np.uint8)
+    per = np.array([len(p) // BLOCK for p in payloads])
+    first = np.cumsum(per) - per
+    number = np.arange(len(data) // BLOCK) - np.repeat(first, per)
+    made = [_frames(data[i * BLOCK : (i + TOGETHER) * BLOCK], number[i : i + TOGETHER]) for i in range(0, len(number), TOGETHER)]
+    flat, length = b"".join(x[0] for x in made), np.concatenate([x[1] for x in made])
+    del made
+    ends = np.concatenate([[0], np.cumsum(length)])
     streams = []
     for p, a, m in zip(payloads, first.tolist(), per.tolist(), strict=True):
         own = length[a : a + m]
         info = BLOCK.to_bytes(2, "big") * 2 + int(own.min()).to_bytes(3, "big") + int(own.max()).to_bytes(3, "big")
         info += (RATE << 44 | 0 << 41 | 7 << 36 | len(p)).to_bytes(8, "big")
         signed = (np.frombuffer(p, np.uint8) ^ 0x80).tobytes()
-        streams.append(b"fLaC\x80\x00\x00\x22" + info + hashlib.md5(signed).digest() + flat[ends[a] : ends[a + m]])
+        head = b"fLaC\x80\x00\x00\x22" + info + hashlib.md5(signed).digest()
+        streams.append((head + flat[ends[a] : ends[a + m]], ends[a : a + m] - ends[a] + len(head)))
     return streams
 
 
+def encode_payloads(payloads: list[bytes]) -> list[bytes]:
+    return [s for s, _ in encode_with_places(payloads)]
+
+
 class _Bits:
     def __init__(self, data: bytes) -> None:
         self.data, self.at = data, 0
@@ -385,6 +405,24 @@ def _decode_frames(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple
     return out, ok
 
 
+def decode_frames_from(part: bytes, number: int) -> bytes:
+    """Samples of whole frames of our profile, cut from a stream at a place of its seek table, numbered from `number`."""
+    buf = np.frombuffer(part + bytes(8), np.uint8)
+    hit = np.flatnonzero(buf[:-3] == _HEAD[0])
+    for j in (1, 2, 3):
+        hit = hit[buf[hit + j] == _HEAD[j]]
+    num, size = _number(np.arange(number, number + len(hit)))
+    begin: list[int] = []
+    for at in hit.tolist():  # the head's four bytes may also occur inside a frame: the number after them tells
+        n, own = num[len(begin)], int(size[len(begin)])
+        if bytes(buf[at + 4 : at + 4 + own]) == bytes(n[:own]):
+            begin.append(at)
+    samples, ok = _decode_frames(buf, np.array(begin, np.int64), np.array([*begin[1:], len(part)], np.int64))
+    if not ok.all():
+        raise ValueError("not frames of this profile")
+    return (samples.astype(np.int8).view(np.uint8) ^ 0x80).tobytes()
+
+
 def decode_streams(streams: list[bytes]) -> list[tuple[np.ndarray, list[tuple[int, int]]]]:
     """Unsigned 8-bit samples as bytes, and (first sample, byte offset) of the frames, of each mono 8-bit stream."""
     buf = np.frombuffer(b"".join(streams) + bytes(8), np.uint8)
@@ -401,20 +439,24 @@ def decode_streams(streams: list[bytes]) -> list[tuple[np.ndarray, list[tuple[in
     for i, (info, _) in enumerate(infos):
         own = hit[cut[i] : cut[i + 1]]
         expect = info["samples"] // BLOCK
-        if info["block"] == BLOCK and info["channels"] == 1 and info["width"] == 8 and info["samples"] % BLOCK == 0 and len(own) == expect and expect < 1 << 16:
+        if info["block"] == BLOCK and info["channels"] == 1 and info["width"] == 8 and info["samples"] % BLOCK == 0 and len(own) == expect and expect < 1 << 31:
             num, n = _number(np.arange(expect))
-            if all((buf[own[n > j] + 4 + j] == num[n > j, j]).all() for j in range(3)):
+            if all((buf[own[n > j] + 4 + j] == num[n > j, j]).all() for j in range(6)):
                 fast.append(i)
                 begin.append(own)
                 end.append(np.append(own[1:], base[i] + size[i]))
     out: list = [None] * len(streams)
     if fast:
         b, e = np.concatenate(begin), np.concatenate(end)
-        samples, ok = _decode_frames(buf, b, e)
+        samples, ok = np.empty((len(b), BLOCK), np.int8), np.empty(len(b), bool)
+        for i in range(0, len(b), TOGETHER):
+            part = slice(i, i + TOGETHER)
+            low = int(b[part].min())
+            samples[part], ok[part] = _decode_frames(buf[low : int(e[part].max()) + 8], b[part] - low, e[part] - low)
         at = 0
         for i, own in zip(fast, begin, strict=True):
             if ok[at : at + len(own)].all():
-                signed = samples[at : at + len(own)].astype(np.int8).reshape(-1)
+                signed = samples[at : at + len(own)].reshape(-1)
                 if hashlib.md5(signed.tobytes()).digest() != infos[i][0]["md5"]:
                     raise ValueError("MD5 of the samples")
                 out[i] = (signed.view(np.uint8) ^ 0x80, list(zip(range(0, len(signed), BLOCK), (own - base[i]).tolist(), strict=True)))
@@ -434,53 +476,83 @@ def payload(text: str | None) -> bytes:
 
 
 def store(docs: DataFrame, *, text: str = "text", media: str = "media") -> DataFrame:
-    """docs without the text, with n_bytes and the media column."""
-    docs = docs.drop("n_bytes", media)
+    """docs without the text, with n_bytes, the media column and its seek table."""
+    docs = docs.drop("n_bytes", media, "seek")
     rest = [f for f in docs.schema.fields if f.name != text]
-    schema = T.StructType([*rest, T.StructField("n_bytes", T.LongType()), T.StructField(media, T.BinaryType())])
+    schema = T.StructType([*rest, T.StructField("n_bytes", T.LongType()), T.StructField(media, T.BinaryType()), T.StructField("seek", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, text):
             sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
-            streams = encode_payloads([payload(t) for t in texts])
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), pa.array(sizes, pa.int64()), pa.array(streams, pa.binary())], schema=None, names=[*(f.name for f in rest), "n_bytes", media])
+            made = encode_with_places([payload(t) for t in texts])
+            streams, seeks = [x for x, _ in made], [places[::SEEK].tolist() for _, places in made]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), pa.array(sizes, pa.int64()), pa.array(streams, pa.binary()), pa.array(seeks, pa.list_(pa.int64()))], names=[*(f.name for f in rest), "n_bytes", media, "seek"])
 
     return docs.mapInArrow(run, schema)
 
 
+def write_media(docs: DataFrame, *, text: str = "text", media: str = "media") -> DataFrame:
+    """The rows of `store`, written to the shared folder and read back."""
+    return staged(store(docs, text=text, media=media), "media")
+
+
 def _media_slices(batches: Iterator[pa.RecordBatch], media: str) -> Iterator[tuple[pa.RecordBatch, list, list]]:
     for batch, streams in text_slices(batches, media):
+        if None in streams:
+            raise ValueError("a row without media")
         yield batch, streams, decode_streams(streams)
 
 
-def blocks(stored: DataFrame, *, key: str = "doc_id", media: str = "media", frames: int = 16) -> DataFrame:
-    """key, block, first_sample, byte_offset, pcm: the stream's samples in blocks of `frames` frames, with the place
-    of each block's first sample and first byte, so that a reader can seek to any sample."""
+def blocks(stored: DataFrame, *, key: str = "doc_id", media: str = "media") -> DataFrame:
+    """key, block, first_sample, byte_offset, pcm: the stream's samples in blocks of SEEK frames, with the place of each
+    block's first sample and first byte, so that a reader can seek to any sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, decoded in _media_slices(batches, media):
-            rows = [(k, i // frames, a, at, pcm[a : a + frames * BLOCK].tobytes()) for k, (pcm, places) in zip(batch.column(key).to_pylist(), decoded, strict=True) for i, (a, at) in enumerate(places) if i % frames == 0]
+            rows = [(k, i // SEEK, a, at, pcm[a : a + SEEK * BLOCK].tobytes()) for k, (pcm, places) in zip(batch.column("key").to_pylist(), decoded, strict=True) for i, (a, at) in enumerate(places) if i % SEEK == 0]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "block", "first_sample", "byte_offset", "pcm"])
 
-    return stored.select(F.col(key).cast("long").alias(key), media).mapInArrow(run, "key long, block int, first_sample long, byte_offset long, pcm binary").withColumnRenamed("key", key)
+    return stored.select(F.col(key).cast("long").alias("key"), media).mapInArrow(run, "key long, block int, first_sample long, byte_offset long, pcm binary").withColumnRenamed("key", key)
+
+
+def read_samples(stored: DataFrame, begin: int, end: int, *, key: str = "doc_id", media: str = "media") -> DataFrame:
+    """key, pcm: the samples from begin to end (without it) that each stream has. Of the media only the bytes between
+    the seek table's offsets around them are taken, by substring, and decoded."""
+    first, last = begin // (SEEK * BLOCK), max(begin, end - 1) // (SEEK * BLOCK)
+    low = F.get("seek", F.lit(first))
+    high = F.coalesce(F.get("seek", F.lit(last + 1)), F.length(media).cast("long"))
+    part = F.col(media).substr((low + 1).cast("int"), (high - low).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, parts in text_slices(batches, "part"):
+            found = []
+            for x in parts:
+                pcm = decode_frames_from(x, first * SEEK) if x else b""
+                found.append(pcm[begin - first * SEEK * BLOCK : end - first * SEEK * BLOCK])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "pcm"])
+
+    return stored.select(F.col(key).cast("long").alias("key"), part.alias("part")).mapInArrow(run, "key long, pcm binary").withColumnRenamed("key", key)
 
 
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long"
 
 
 def features(stored: DataFrame, *, media: str = "media") -> DataFrame:
     """Digests and a description of the samples, read back from the stored bytes: mean level, mean power, crossings
-    of the middle level in a thousand samples, and peak."""
+    of the middle level in a thousand samples, and peak. A seek table that doesn't fit its stream raises ValueError."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, streams, decoded in _media_slices(batches, media):
             rows = []
-            for s, (pcm, _) in zip(streams, decoded, strict=True):
-                data, x = pcm.tobytes(), pcm.astype(np.int64) - 128
+            for s, (pcm, places), seek in zip(streams, decoded, batch.column("seek").to_pylist(), strict=True):
+                if [at for _, at in places[::SEEK]] != seek:
+                    raise ValueError("the seek table")
+                data, x = pcm.tobytes(), pcm.astype(np.int16) - 128
                 crossed = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
-                text = f"mean={x.sum() / len(x):.4f};power={(x * x).sum() / len(x):.3f};crossings={1000 * crossed / len(x):.3f};peak={int(np.abs(x).max())}"
-                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(s), hashlib.sha256(s).hexdigest(), text))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                power = int(np.dot(y := x.astype(np.float64), y))
+                text = f"mean={int(x.sum(dtype=np.int64)) / len(x):.4f};power={power / len(x):.3f};crossings={1000 * crossed / len(x):.3f};peak={int(np.abs(x).max())}"
+                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(s), hashlib.sha256(s).hexdigest(), text, len(seek)))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], [x.split(" ")[0] for x in FEATURES.split(", ")])
 
-    return stored.select(F.col("doc_id").cast("long"), "n_bytes", media).mapInArrow(run, FEATURES)
+    return stored.select(F.col("doc_id").cast("long"), "n_bytes", media, "seek").mapInArrow(run, FEATURES)
