@@ -8,17 +8,22 @@ walks the parts in order: text is escaped, every attachment becomes an ordered p
 Control strings begin with ``<|``. In texts and roles one backslash more is put between any ``<``, its backslashes
 and a following ``|``, so that no text holds a control string and ``unescape`` restores it exactly.
 
-Turns of a conversation are brought together by a shuffle and an external sort; a task reads them as a
-stream and holds one conversation at a time.
+Turns of a conversation are brought together by a shuffle and an external sort; a task reads them as a stream and
+holds one conversation at a time, which is what a row of the result holds. Batches are bounded by characters.
 
 Cases: null text is empty; a null role is empty; rows with a null conversation form one of their own; turns go
-by number, null first, equal ones by role and text; unknown part types raise ValueError.
+by number, null first, equal ones by role, text and parts; repeated rows are turns of their own; an empty table gives
+an empty one; very long texts are formatted whole; other columns, whatever their names, aren't read. Parts that are a
+JSON string are that text, one object is a list of one, null is no part; a string in a list is a text part; parts that
+aren't JSON or neither of these are one `unreadable` attachment, parts of an unknown type `unknown` ones, both of no
+tokens; sizes that aren't numbers above 0 count as missing (one tile, no seconds, one page).
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_slices
+
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 START, END, LOSS_ROLE = "<|im_start|>", "<|im_end|>\n", "assistant"
@@ -58,31 +65,52 @@ class PartVisitor:
     tokens_per_page: int = 600
     attachments: list[dict] = field(default_factory=list)
 
-    def visit(self, part: dict) -> str:
-        handler = getattr(self, f"visit_{part.get('type')}", None)
-        if handler is None:
-            raise ValueError(f"unknown part type {part.get('type')!r}")
-        return handler(part)
+    def visit(self, part: object) -> str:
+        if isinstance(part, str):
+            return escape(part)
+        kind = part.get("type") if isinstance(part, dict) else None
+        handler = getattr(self, f"visit_{kind}", None) if kind in ("text", "image", "audio", "document") else None
+        if kind == "unreadable":
+            return self._attach("unreadable", {}, 0)
+        return handler(part) if handler else self._attach("unknown", part if isinstance(part, dict) else {}, 0)
 
     def visit_text(self, part: dict) -> str:
-        return escape(part.get("text") or "")
+        text = part.get("text")
+        return escape(text if isinstance(text, str) else "" if text is None else json.dumps(text, ensure_ascii=False))
 
     def visit_image(self, part: dict) -> str:
-        tiles = -(-int(part.get("width") or self.image_tile) // self.image_tile) * -(-int(part.get("height") or self.image_tile) // self.image_tile)
-        return self._attach("image", part, tiles * self.tokens_per_tile)
+        tiles = [math.ceil(_number(part.get(side), self.image_tile) / self.image_tile) for side in ("width", "height")]
+        return self._attach("image", part, tiles[0] * tiles[1] * self.tokens_per_tile)
 
     def visit_audio(self, part: dict) -> str:
-        return self._attach("audio", part, -(-int(float(part.get("seconds") or 0) * self.audio_tokens_per_second * 1000) // 1000))
+        return self._attach("audio", part, math.ceil(_number(part.get("seconds"), 0) * self.audio_tokens_per_second - 1e-9))
 
     def visit_document(self, part: dict) -> str:
-        return self._attach("document", part, int(part.get("pages") or 1) * self.tokens_per_page)
+        return self._attach("document", part, math.ceil(_number(part.get("pages"), 1)) * self.tokens_per_page)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> str:
-        index = len(self.attachments)
-        self.attachments.append({"index": index, "kind": kind, "ref": part.get("ref"), "tokens": tokens})
+        index, ref = len(self.attachments), part.get("ref")
+        self.attachments.append({"index": index, "kind": kind, "ref": ref if ref is None or isinstance(ref, str) else json.dumps(ref, ensure_ascii=False), "tokens": tokens})
         return f"<|{kind}:{index}|>"
 
 
+def _number(value: object, default: float) -> float:
+    try:
+        x = float(value)
+    except (TypeError, ValueError):
+        return default
+    return x if 0 < x < 1e12 else default
+
+
+def read_parts(listed: str) -> list:
+    """The parts of a JSON text."""
+    try:
+        x = json.loads(listed)
+    except ValueError:
+        x = 0
+    return x if isinstance(x, list) else [] if x is None else [x] if isinstance(x, (str, dict)) else [{"type": "unreadable"}]
+
+
 def format_turns(turns: list[tuple[str | None, object]], visitor: PartVisitor | None = None) -> tuple[str, list[tuple[int, int]], list[dict]]:
     """turns: (role, text or list of parts). The formatted text, its spans under loss, and the attachments."""
     visitor = visitor or PartVisitor()
@@ -113,7 +141,7 @@ def format_conversations(turns: DataFrame, *, parts: str | None = None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
-        now, held = object(), []
+        now, held, chars = object(), [], 0
 
         def close() -> None:
             if held:
@@ -125,10 +153,12 @@ def format_conversations(turns: DataFrame, *, parts: str | None = None) -> DataF
                 if conv != now:
                     close()
                     now, held = conv, []
-                held.append((role, json.loads(listed) if listed is not None else text))
-                if len(rows) >= 500:
+                held.append((role, read_parts(listed) if listed is not None else text))
+                chars += len(listed if listed is not None else text or "")
+                if len(rows) >= 500 or rows and chars > 1 << 22:
                     yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
                     rows.clear()
+                    chars = 0
         close()
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
@@ -139,24 +169,26 @@ def format_conversations(turns: DataFrame, *, parts: str | None = None) -> DataF
 
 ARROW = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("loss_starts", pa.list_(pa.int64())), ("loss_ends", pa.list_(pa.int64())), ("n_turns", pa.int64()), ("attachments", pa.list_(pa.struct([("index", pa.int32()), ("kind", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())]))), ("expanded_tokens", pa.int64())])
 
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, expanded_tokens long, attachments_sha256 string"
+_MARK = re.compile(r"<\|(image|audio|document|unknown|unreadable):(\d+)\|>")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of turns and loss, read back from the formatted texts."""
+    """Counts and digests of turns, loss and attachments, read back from the formatted texts; placeholders in them that
+    aren't those of the recorded attachments, in order, raise ValueError. attachments_sha256: kind, reference and
+    tokens of each, ended by newlines."""
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+    names = [x.split(" ")[0] for x in DIGEST.split(", ")]
+    sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in text_slices(batches, "formatted"):
             rows = []
-            for conv, text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_starts", "loss_ends")), strict=True):
-                turns = read_turns(text)
-                loss = [unescape(text[a:b]) for a, b in zip(starts, ends, strict=True)]
-                whole, under = hashlib.sha256(), hashlib.sha256()
-                for role, said in turns:
-                    whole.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-                for said in loss:
-                    under.update(said.encode("utf-8", "surrogatepass"))
-                rows.append({"conv_id": conv, "n_turns": len(turns), "turns_sha256": whole.hexdigest(), "loss_chars": sum(map(len, loss)), "loss_sha256": under.hexdigest(), "formatted_chars": len(text)})
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]))
-
-    return formatted.select("conv_id", "formatted", "loss_starts", "loss_ends").mapInArrow(run, DIGEST)
+            for conv, text, starts, ends, attached in zip(batch.column("conv_id").to_pylist(), texts, *(batch.column(c).to_pylist() for c in ("loss_starts", "loss_ends", "attachments")), strict=True):
+                if _MARK.findall(text) != [(a["kind"], str(a["index"])) for a in attached]:
+                    raise ValueError(f"placeholders of conversation {conv}")
+                turns, loss = read_turns(text), "".join(unescape(text[a:b]) for a, b in zip(starts, ends, strict=True))
+                rows.append((conv, len(turns), sha("".join(f"{role}\n{said}\n" for role, said in turns)), len(loss), sha(loss), len(text), len(attached), sum(a["tokens"] for a in attached), sha("".join(f"{a['kind']}\n{a['ref'] or ''}\n{a['tokens']}\n" for a in attached))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return formatted.select("conv_id", "formatted", "loss_starts", "loss_ends", "attachments").mapInArrow(run, DIGEST)

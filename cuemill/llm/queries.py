@@ -33,7 +33,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flac.features(flac.store(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return flac.features(flac.write_media(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(length(safe) + length(safe_role) + 24)::BIGINT AS formatted_chars
+       sum(length(safe) + length(safe_role) + 24)::BIGINT AS formatted_chars, 0::BIGINT AS n_attachments, 0::BIGINT AS expanded_tokens, sha256('') AS attachments_sha256
 FROM e GROUP BY conv_id
 """,
     "op10_jaccard": rf"""

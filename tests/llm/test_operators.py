@@ -6,7 +6,6 @@ import zlib
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from cuemill.llm import annsearch, chat, flac, jaccard, langid, linededup, mixing, packing, quality, tokenfiles
@@ -79,6 +78,13 @@ def test_mixing_hard_rows(docs):
     assert got.count() == len(HARD) and mixing.repeat(got).columns == [c for c in got.columns if c not in ("size", "source_size", "target", "copies", "taken")]
 
 
+def test_mixing_keeps_columns_with_the_names_of_its_helpers(spark):
+    rows = [(i, "a b", "s", i, -i, "k", 3, i) for i in range(20)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_source long, _mix_hash long, _mix_size string, whole long, _copy long"))
+    assert [(r._mix_source, r._mix_hash, r._mix_size, r.whole, r._copy) for r in got.orderBy("doc_id").collect()] == [(i, -i, "k", 3, i) for i in range(20)]
+    assert mixing.repeat(got).agg(F.sum(F.length("text"))).first()[0] == got.agg(F.sum("copies") * 3).first()[0]
+
+
 def test_packing(spark, docs):
     rng = random.Random(3)
     rows = [(i, rng.choice([0, 1, 7, 100, 600, 5000])) for i in range(400)]
@@ -98,6 +104,30 @@ def test_packing(spark, docs):
     assert packing.pack(docs).filter("doc_id is null").count() == 1
 
 
+def test_packing_is_near_the_least_cost_of_all_partitions():
+    """Every way to put up to seven pieces into bins, each shrunk to the least length that holds it."""
+
+    def partitions(x):
+        if not x:
+            yield []
+            return
+        for rest in partitions(x[1:]):
+            yield [[x[0]], *rest]
+            for i in range(len(rest)):
+                yield [*rest[:i], [x[0], *rest[i]], *rest[i + 1 :]]
+
+    rng = random.Random(8)
+    least = spent = 0
+    for _ in range(60):
+        sizes = sorted((rng.choice([30, 90, 200, 300, 500, 700, 1100, 2100, 4096]) for _ in range(rng.randint(1, 7))), reverse=True)
+        fits = [[min(c for c in packing.LENGTHS if c >= sum(b)) for b in p] for p in partitions(sizes) if all(sum(b) <= packing.LENGTHS[-1] for b in p)]
+        best = min(sum(f) + packing.OVERHEAD * len(f) for f in fits)
+        cost = packing.best_plan(sizes)[0]
+        assert best <= cost <= 1.5 * best
+        least, spent = least + best, spent + cost
+    assert spent <= 1.05 * least
+
+
 def test_packing_plan_is_the_cheapest():
     sizes = sorted([500, 500, 500, 500, 300, 200, 90, 2100], reverse=True)
     cost, *_ = packing.best_plan(sizes)
@@ -113,8 +143,24 @@ def test_chat(spark):
     assert [chat.unescape(made[1].formatted[a:b]) for a, b in zip(made[1].loss_starts, made[1].loss_ends)] == ["b"]
     assert "<|image:0|><|audio:1|><|document:2|>" in made[2].formatted and made[2].expanded_tokens == 512 + 50 + 1200
     assert [a.ref for a in made[2].attachments] == ["i.png", "a", "d"]
-    with pytest.raises(ValueError, match="unknown part"):
-        chat.format_turns([("user", [{"type": "video"}])])
+
+
+def test_chat_parts_that_are_wrong_become_placeholders(spark):
+    bad = ['{"type": "text"}', "not json", '"x"', "7", "null", '["plain <|", 5, {"type": "video", "ref": "v"}, {"type": "image", "width": "wide", "height": -3}, {"type": "audio", "seconds": "NaN"}, {"type": "document", "pages": null}, {"no": 1}, {"type": "text", "text": 9}]']
+    rows = [(i, 0, "user", "t", x, "a") for i, x in enumerate(bad)]
+    made = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, parts string, formatted string"), parts="parts").orderBy("conv_id").collect()
+    bodies = [chat.read_turns(r.formatted)[0][1] for r in made]
+    assert bodies[0] == "" and bodies[1] == "<|unreadable:0|>" and bodies[2] == "x" and bodies[3] == "<|unreadable:0|>" and bodies[4] == ""
+    assert bodies[5] == "plain <|<|unknown:0|><|unknown:1|><|image:2|><|audio:3|><|document:4|><|unknown:5|>9"
+    assert [a.tokens for a in made[5].attachments] == [0, 0, 256, 0, 600, 0] and made[5].attachments[1].ref == "v"
+    digest = chat.digests(chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, parts string, formatted string"), parts="parts")).orderBy("conv_id").collect()
+    assert [r.n_attachments for r in digest] == [0, 1, 0, 1, 0, 6] and digest[5].expanded_tokens == 856 and digest[5].attachments_sha256 != digest[4].attachments_sha256
+
+
+def test_chat_of_a_conversation_without_end(spark):
+    rows = spark.range(30000).select(F.lit(None).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.lit("x" * 50).alias("text"))
+    (row,) = chat.digests(chat.format_conversations(rows)).collect()
+    assert row.n_turns == 30000 and row.loss_chars == 1_500_000 and row.conv_id is None
 
 
 def test_line_dedup(spark):
@@ -193,13 +239,25 @@ def test_line_dedup_equals_brute_force(spark):
         assert got[i].text == (None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in want[i]))
 
 
-def test_line_dedup_keys_are_hashes_of_whole_windows():
-    hashes, counts = [5, -3, 9, 5, -3, 9], [20, 20, 20] * 2
-    packed = lambda a, b: xxhash.xxh3_64_intdigest(np.array(hashes[a : b + 1], np.int64).tobytes()) - (1 << 63)
-    got = linededup.fingerprints(hashes, counts, 50)
-    assert sorted(got) == sorted((packed(a, a + 2), a, a + 2) for a in range(4))
-    assert sorted(linededup.fingerprints(hashes[:3], [30, 15, 30], 50)) == [(packed(0, 2), 0, 2)]
-    assert {x[1:] for x in linededup.fingerprints(hashes[:3], [30, 30, 5], 50)} == {(0, 1), (0, 2)}
+def test_winnowing_selects_the_least_line_of_each_window():
+    hashes, counts = [5, -3, 9, 5, -3, 9, 7, 8], [20] * 8
+    got = linededup.winnow(hashes, counts, 50)
+    assert got == {1: [(0, 2), (1, 3)], 4: [(2, 4), (3, 5), (4, 6)], 6: [(5, 7)]}  # six windows, three fingerprints
+    assert sorted(linededup.windows([30, 30, 5], 50)) == [(0, 1), (0, 2)]
+    assert linededup.winnow([4, 4, 4], [30, 30, 30], 50) == {1: [(0, 1)], 2: [(1, 2)]}  # the last of equal ones
+
+
+def test_line_dedup_by_pairs_and_by_windows_alike(spark):
+    rng = random.Random(4)
+    line = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    pool = [line(rng.choice([5, 15, 24, 30])) for _ in range(9)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 12))) if i % 3 else "\n".join(pool[:7])) for i in range(60)]
+    table = spark.createDataFrame([(*r, "kept", 7, 8) for r in rows], "doc_id long, text string, _cut string, _DOC int, _text int")
+    want = repeated(rows)
+    for pairs in (0, 3, 100):
+        got = linededup.dedup_lines(table, pairs=pairs).collect()
+        assert {r.doc_id: r.n_removed for r in got} == {i: len(want[i]) for i, _ in rows}
+        assert all((r._cut, r._DOC, r._text) == ("kept", 7, 8) for r in got)
 
 
 def test_flac(docs):
@@ -213,10 +271,27 @@ def test_flac(docs):
     broken[80] ^= 4
     with pytest.raises(ValueError):
         flac.decode_streams([bytes(broken)])
-    got = {r.doc_id: r for r in flac.features(flac.store(docs)).collect()}
+    got = {r.doc_id: r for r in flac.features(flac.write_media(docs)).collect()}
+    assert got[4].n_blocks == len(flac.payload(HARD[5][1])) // 192 // flac.SEEK + 1 and flac.write_media(docs).columns == ["doc_id", "source", "lang", "size", "n_bytes", "media", "seek"]
     assert got[2].payload_sha256 == hashlib.sha256(b" " * 192).hexdigest() and got[2].n_bytes == 0
     assert got[4].tail_crc32 == zlib.crc32(flac.payload(HARD[5][1])[-16:])
-    assert flac.blocks(flac.store(docs)).filter("first_sample = 0").count() == len(HARD)
+    stored = flac.write_media(docs)
+    assert flac.blocks(stored).filter("first_sample = 0").count() == len(HARD)
+    long = flac.payload(HARD[5][1])
+    for a, b in ((0, 5), (3000, 3500), (6143, 6145), (len(long) - 3, len(long))):
+        found = {r.doc_id: r.pcm for r in flac.read_samples(stored, a, b).collect()}
+        assert bytes(found[4]) == long[a:b] and bytes(found[3]) == b"a".ljust(192)[a:b]
+    with pytest.raises(Exception, match="row without media"):
+        flac.features(stored.withColumn("media", F.lit(None).cast("binary"))).collect()
+
+
+def test_flac_of_a_very_long_text(spark):
+    text = "".join(random.Random(2).choice("abc de\n") for _ in range(3 << 20))
+    (row,) = flac.features(flac.write_media(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()
+    assert row.payload_sha256 == hashlib.sha256(flac.payload(text)).hexdigest()
+    (media,) = flac.encode_payloads([flac.payload(text[:400_000])])
+    info, channels, _ = flac.decode_stream(media)  # the plain decoder agrees with the encoder
+    assert bytes(v + 128 for v in channels[0]) == flac.payload(text[:400_000])
 
 
 class _Writer:
@@ -291,7 +366,8 @@ def test_tokens_of_stated_documents_skip_pages(spark, tmp_path):
     tokenfiles.write_tokens(rows, out, path, parts=1, page_rows=100)
     tokens = tokenfiles.read_tokens(spark, out)
     some = tokenfiles.select_documents(tokens, [7, 3999])
-    assert "PushedFilters: [In(doc_id, [7,3999])" in some._jdf.queryExecution().toString() or "In(doc_id" in some._jdf.queryExecution().toString()
+    pushed = [x for x in some._jdf.queryExecution().toString().split("\n") if "PushedFilters" in x and "ids" in x.split("PushedFilters")[1]]
+    assert pushed and "doc_id" in pushed[0].split("PushedFilters")[1].split("ReadSchema")[0]
     assert [r.doc_id for r in some.orderBy("doc_id").collect()] == [7, 3999]
     plan = tokenfiles.metadata(tokens)._jdf.queryExecution().executedPlan().toString()
     assert "ids" not in plan
@@ -338,6 +414,60 @@ def test_quality(spark, docs):
     assert quality.score(docs, model).count() == len(HARD) and quality.score(docs, None).filter("predicted = 1").count() == len(HARD)
 
 
+def test_class_prior_from_positives_and_unlabelled_rows_alone():
+    rng = np.random.default_rng(2)
+    for share in (0.2, 0.5, 0.8):
+        n = int(4000 * share)
+        unlabelled = np.concatenate([rng.normal(1.5, 1, (n, 3)), rng.normal(-1.5, 1, (4000 - n, 3))])
+        assert abs(quality.class_prior(rng.normal(1.5, 1, (3000, 3)), unlabelled) - share) < 0.06
+
+
+def test_risk_is_the_naive_sum():
+    """The gradient step lowers the risk that the definition, written as a plain loop, gives."""
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(1, 1, (200, 4)), np.concatenate([rng.normal(1, 1, (150, 4)), rng.normal(-1, 1, (150, 4))])
+
+    def risk(model):
+        loss = lambda z, y: 1 / (1 + np.exp(y * z))
+        score = lambda x: float(np.clip((x - model["centre"]) / model["scale"], -6, 6) @ model["w"] + model["b"])
+        plus = sum(loss(score(x), 1) for x in p) / len(p)
+        minus = sum(loss(score(x), -1) for x in u) / len(u) - 0.5 * sum(loss(score(x), -1) for x in p) / len(p)
+        return 0.5 * plus + max(0.0, minus)
+
+    one, many = quality.fit_pu(p, u, 0.5, steps=1), quality.fit_pu(p, u, 0.5)
+    assert risk(many) == pytest.approx(quality.risk(many, p, u, 0.5)) and risk(many) < min(0.12, risk(one))
+
+
+def test_quality_with_a_repeated_id_reads_a_bounded_sample(spark):
+    rows = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("the river "), F.col("id").cast("string")).alias("text"))
+    drawn = quality.training_rows(rows, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), F.lit(True), 100)
+    assert drawn.filter("positive = 1").count() == 100 and drawn.filter("positive = 0").count() == 100
+
+
+def test_language_against_plain_distances(spark):
+    def gram_counts(text):
+        words_ = re.findall(r"[^\W\d_]+", text.lower())
+        spaced = f" {' '.join(words_)} "
+        return collections.Counter([*"".join(words_), *(spaced[i : i + n] for n in (2, 3) for i in range(len(spaced) - n + 1))])
+
+    top = lambda c: sorted(c, key=lambda g: (-c[g], sum(ord(x) << 21 * i for i, x in enumerate(reversed(g)))))[: langid.TOP]
+    text = {"en": "the river and the hills over there with this thing", "de": "der fluss und die berge dort mit diesem ding über", "fr": "la rivière et les collines là avec cette chose"}
+    rows = [(i, " ".join(random.Random(i).choices(text[l].split() + text["en"].split()[:4], k=9)), l) for i, l in enumerate(["en", "de", "fr"] * 30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = {l: top(sum((gram_counts(t) for _, t, own in rows if own == l), collections.Counter())) for l in text}
+    for r in langid.predict(table, langid.fit(table)).collect():
+        own = top(gram_counts(r.text))
+        far = {l: sum(abs(p.index(g) - i) if g in p else langid.TOP for i, g in enumerate(own)) for l, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        assert r.lang_pred == best and r.score == pytest.approx(1 - far[best] / (langid.TOP * len(own)))
+
+
+def test_languages_beyond_any_number_are_not_collected(spark):
+    rows = [(i, "some words here", f"dirty-{i}") for i in range(400)] + [(1000 + i, "the river and the hills", "en") for i in range(30)]
+    profiles = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), languages=50)
+    assert len(profiles.names) == 50 and "en" in profiles.names
+
+
 def test_language(spark, docs):
     text = {"en": "the river and the hills over there with this thing", "de": "der fluss und die berge dort mit diesem ding über"}
     rows = [(i, " ".join(random.Random(i).choices(text[l].split(), k=30)), l) for i, l in enumerate(["en", "de"] * 60)]
