@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -18,6 +18,17 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with value as a column that is computed once, whatever filters and projections use it: those of the planner
+    don't go through a generator."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def strip(text: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(text, rf"\A{P.WHITESPACE}|{P.WHITESPACE}\z", "")
+
+
 def squeeze(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, P.WHITESPACE, " "))
 
@@ -119,7 +130,7 @@ def dedup_key(mode: str, video_id: Column, start: Column, end: Column, text: Col
     if mode == "segment":
         return F.format_string("%s:%.3f:%.3f", video_id, start, end)
     if mode == "text":
-        return F.lower(F.btrim(text))
+        return F.lower(strip(text))
     raise ValueError(f"unknown dedup key {mode!r}")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as X
-from ..sources.rules import Rule
+from ..sources.rules import Rule, variant_table
 
 #: Variants beyond which the rule table is joined instead of written into the plan.
 LITERAL_VARIANTS = 2000
@@ -17,7 +17,7 @@ _FIELDS = ("abbr", "canonical_reading", "pron_type", "confidence_tier", "rule_id
 def _rule_map(rules: list[Rule]) -> Column:
     entries = [F.struct(F.lit(v).alias("k"), F.struct(*[F.lit(getattr(r, f)).alias(f) for f in _FIELDS]).alias("v")) for r in rules for v in r.surfaces]
     if len(entries) > LITERAL_VARIANTS:
-        raise ValueError(f"{len(entries)} variants; match_rules_joined takes any number")
+        raise ValueError(f"{len(entries)} variants; score and match_rules_joined take any number")
     return F.map_from_entries(F.array(*entries))
 
 
@@ -57,22 +57,28 @@ def primary_hit(hits: Column, with_tier: bool = True) -> Column:
     return F.try_element_at(F.array_sort(keyed), F.lit(1))["h"]
 
 
-def score(rows: DataFrame, rules: list[Rule] | None, max_hits: int | None = 2, text: str = "text") -> DataFrame:
-    """Rows with 1 to max_hits hits (None: no limit): abbreviations, text_expanded, primary_*, and match_mode for rule-free mining."""
+def score(rows: DataFrame, rules: list[Rule] | None, max_hits: int | None = 2, text: str = "text", key: str = "item_id") -> DataFrame:
+    """Rows with 1 to max_hits hits (None: no limit): abbreviations, text_expanded, primary_*, and match_mode for rule-free mining.
+
+    Texts without a match of the pattern go first; of the others hits are found once, and only rows that stay are
+    expanded. key: a column that tells rows apart, used where the rule table is too large for the plan."""
+    some = rows.filter(F.col(text).rlike(P.ABBREVIATION))
     found = X.abbreviation_candidates(F.col(text))
-    hits = candidate_hits(found) if rules is None else match_rules(found, rules)
-    out = rows.withColumn("abbreviations", hits).filter(F.size("abbreviations") >= 1 if max_hits is None else F.size("abbreviations").between(1, max_hits))
-    out = out.withColumn("text_expanded", F.col(text) if rules is None else X.expand_readings(F.col(text), F.col("abbreviations"))).filter(F.coalesce("text_expanded", F.lit("")) != "")
-    out = out.withColumn("_p", primary_hit(F.col("abbreviations"), rules is not None))
+    if rules is not None and sum(len(r.surfaces) for r in rules) > LITERAL_VARIANTS:
+        table = variant_table(rows.sparkSession, rules)
+        out = some.join(match_rules_joined(some.withColumn("_c", found), key, "_c", table).withColumnRenamed("hits", "abbreviations"), key)
+    else:
+        out = X.once(some, "abbreviations", candidate_hits(found) if rules is None else match_rules(found, rules))
+    out = out.filter(F.size("abbreviations") >= 1 if max_hits is None else F.size("abbreviations").between(1, max_hits))
+    if rules is None:
+        out = out.withColumn("text_expanded", F.col(text))
+    else:
+        out = X.once(out, "text_expanded", X.expand_readings(F.col(text), F.col("abbreviations"))).filter(F.coalesce("text_expanded", F.lit("")) != "")
+    out = X.once(out, "_p", primary_hit(F.col("abbreviations"), rules is not None))
     out = out.withColumns({"primary_abbr": F.col("_p.abbr"), "primary_pron_type": F.col("_p.pron_type"), "primary_confidence_tier": F.col("_p.confidence_tier")}).drop("_p")
     return out.withColumn("match_mode", F.lit(P.CANDIDATE_ONLY)) if rules is None else out
 
 
-def segment_order(n_candidates: str, start: str, seg_ord: str) -> list[Column]:
-    """The order in which a video's segments are tried."""
-    return [F.col(n_candidates), F.col(start), F.col(seg_ord)]
-
-
 def audit(manifest: DataFrame) -> DataFrame:
     """A row for each hit of each record."""
     h = manifest.select("*", F.explode("abbreviations").alias("h"))
@@ -80,6 +86,9 @@ def audit(manifest: DataFrame) -> DataFrame:
 
 
 def review(manifest: DataFrame) -> DataFrame:
-    """The columns of the review sheet, a row for each hit."""
+    """The columns of the review sheet, a row for each hit: eight with rules, seven for rule-free manifests."""
     h = manifest.select("*", F.explode("abbreviations").alias("h"))
-    return h.select("uid", F.col("h.abbr").alias("abbr"), F.col("h.surface").alias("surface"), F.col("h.pron_type").alias("pron_type"), "text", "audio_path", "source_domain")
+    own = lambda *names: [F.col(f"h.{n}").alias(n) for n in names]
+    if "match_mode" in manifest.columns:
+        return h.select("uid", *own("abbr", "surface", "pron_type"), "text", "audio_path", "source_domain")
+    return h.select("uid", *own("abbr", "surface", "canonical_reading", "pron_type", "confidence_tier"), "text", "audio_path")

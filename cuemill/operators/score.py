@@ -32,16 +32,26 @@ def rare_words(docs: DataFrame, vocab: DataFrame, key: str, text: str = "text")
     return sets.withColumn("rare_words", F.array_sort(F.array_union("freq_1_9_words", "oov_words")))
 
 
-def gate(rows: DataFrame, config: RareWordConfig = RareWordConfig(), lexicon: dict[str, list[str]] | None = None, text: str = "text") -> DataFrame:
-    """Rows (with rare_words) that pass: tokens, 1 to max_rare_words rare words, a domain and an entity where required."""
+def gate_features(rows: DataFrame, lexicon: dict[str, list[str]] | None = None, text: str = "text") -> DataFrame:
+    """rows with n_tokens, domains and entities of the text, each computed once."""
     toks = X.tokens(F.col(text))
-    out = rows.withColumn("domains", X.domain_scores(toks, lexicon)).withColumn("entities", X.entities(F.col(text)))
-    keep: Column = (F.size(toks) > 0) & F.size("rare_words").between(1, config.max_rare_words)
+    made = X.once(rows, "_g", F.struct(F.size(toks).alias("n"), X.domain_scores(toks, lexicon).alias("d"), X.entities(F.col(text)).alias("e")))
+    return made.withColumns({"n_tokens": F.col("_g.n"), "domains": F.col("_g.d"), "entities": F.col("_g.e")}).drop("_g")
+
+
+def passes(rows: DataFrame, config: RareWordConfig = RareWordConfig()) -> DataFrame:
+    """Rows (with rare_words and gate_features) that have tokens, 1 to max_rare_words rare words, and a domain and an
+    entity where required."""
+    keep: Column = (F.col("n_tokens") > 0) & F.size("rare_words").between(1, config.max_rare_words)
     if config.require_keyword:
         keep &= F.size("domains") > 0
     if config.require_entity:
         keep &= F.size("entities") > 0
-    return out.filter(keep)
+    return rows.filter(keep)
+
+
+def gate(rows: DataFrame, config: RareWordConfig = RareWordConfig(), lexicon: dict[str, list[str]] | None = None, text: str = "text") -> DataFrame:
+    return passes(gate_features(rows, lexicon, text), config)
 
 
 def assign_domain(source_domain: Column, domains: Column) -> Column:

@@ -17,12 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import RareWordConfig
-
-
-def is_laminar(config: RareWordConfig, one_domain_per_video: bool, video_in_one_source: bool) -> bool:
-    return config.dedup_key in ("segment", "none") and video_in_one_source and (not config.max_per_domain or one_domain_per_video)
-
 
 def first_of_key(items: DataFrame, order: list[str], key: str = "dedup_key") -> DataFrame:
     """Of items with the same key the first; items without a key all stay. Aggregation with map-side combine, no window."""
@@ -45,11 +39,11 @@ def windowed(items: DataFrame, order: list[str], *, target: int | None, per_vide
 
 @dataclass
 class Quotas:
-    """State of the fold. classes: the name of each class column and its cap for any of an item's values of it;
+    """State of the fold. per_video: None is no limit. classes: the name of each class column and its cap for any of an item's values of it;
     primary: the name of each class column and quotas that bind an item's primary value until all are filled."""
 
     target: int
-    per_video: int = 0
+    per_video: int | None = None
     caps: dict[str, int] = field(default_factory=dict)
     primary: dict[str, dict[str, int]] = field(default_factory=dict)
     taken: int = 0
@@ -57,14 +51,18 @@ class Quotas:
     counts: dict[str, Counter] = field(default_factory=dict)
     keys: set = field(default_factory=set)
 
+    @property
+    def classes(self) -> list[str]:
+        return [*dict.fromkeys((*self.caps, *self.primary))]
+
     def allows(self, item: dict) -> bool:
-        if self.taken >= self.target or self.per_video and self.videos[item["video_id"]] >= self.per_video:
+        if self.taken >= self.target or self.per_video is not None and self.videos[item["video_id"]] >= self.per_video:
             return False
         if item.get("dedup_key") is not None and item["dedup_key"] in self.keys:
             return False
         for name, cap in self.caps.items():
             own = self.counts.setdefault(name, Counter())
-            if cap and any(own[v] >= cap for v in item[name]):
+            if any(own[v] >= cap for v in item[name]):
                 return False
         for name, quota in self.primary.items():
             own, value = self.counts.setdefault(name, Counter()), item[f"primary_{name}"]
@@ -77,15 +75,14 @@ class Quotas:
         self.videos[item["video_id"]] += 1
         if item.get("dedup_key") is not None:
             self.keys.add(item["dedup_key"])
-        for name in {*self.caps, *self.primary}:
+        for name in self.classes:
             self.counts.setdefault(name, Counter()).update(set(item[name]))
 
 
 def sequential(items: DataFrame, order: list[str], quotas: Quotas, first_uid: int = 1) -> DataFrame:
     """item_id, uid of the items taken. items: item_id, video_id, dedup_key, the class columns (arrays of strings),
     primary_<class> and the order columns; carry no wide columns, join them back."""
-    classes = [*dict.fromkeys((*quotas.caps, *quotas.primary))]
-    names = ["item_id", "video_id", "dedup_key", *classes, *(f"primary_{c}" for c in quotas.primary)]
+    names = ["item_id", "video_id", "dedup_key", *quotas.classes, *(f"primary_{c}" for c in quotas.primary)]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from copy import deepcopy

@@ -5,13 +5,14 @@ RE2's \\b knows ASCII only: accented letters become `_` first, which keeps lengt
 
 from __future__ import annotations
 
-from .tables import CUE_WORDS, DENYLIST, LEXICON, PAUSE_MS, RULES, WORD_MS
+from .tables import CUE_WORDS, DENYLIST, LEXICON, LOUD, PAUSE_MS, RULES, SOURCES, WORD_MS
 
 _PLAIN = "regexp_replace(coalesce(text, ''), '[À-ÖØ-öø-ɏ]', '_', 'g')"
 _TOKENS = rf"regexp_extract_all({_PLAIN}, '\b[a-zA-Z'']+\b')"
 _LOWER = rf"list_filter({_TOKENS}, lambda t: t = lower(t) AND regexp_matches(t, '[a-z]'))"
 _SPACE = r"[\s\x1c-\x1f\x{85}\p{Z}]+"
 _SQUEEZE = lambda x: f"trim(regexp_replace({x}, '{_SPACE}', ' ', 'g'))"
+_STRIP = lambda x: f"regexp_replace({x}, '^{_SPACE}|{_SPACE}$', '', 'g')"
 _TAGS = lambda x: f"regexp_replace({x}, '<[^>]+>', ' ', 'g')"
 _CLEAN = lambda x: f"regexp_replace({_SQUEEZE(f"translate({x}, ':[]', '')")}, '\\s+([,.;!?])', '\\1', 'g')"
 _BAD = lambda x: f"(length({x}) - length(translate({x}, '[]{{}}|<>', '')))"
@@ -101,6 +102,19 @@ walk AS (
 seg AS (SELECT video_id, seg AS seg_ord, arg_max(s, i) AS start, arg_max(e, i) AS "end", {_SQUEEZE(_TAGS('arg_max(t, i)'))} AS text FROM walk GROUP BY video_id, seg),
 kept AS (SELECT * FROM seg WHERE "end" - start BETWEEN 5.0 AND 30.0 AND text <> '')"""
 
+_loud = ", ".join(f"'{x}'" for x in LOUD)
+_LOUD_SEGMENTS = _SEGMENTS.replace("lambda w: w <> '') AS words FROM", f"lambda w: w <> '').list_transform(lambda w: CASE WHEN w IN ({_loud}) THEN upper(w) ELSE w END) AS words FROM")
+_LOUD_HITS = f"""{_LOUD_SEGMENTS},
+segdocs AS (SELECT video_id::BIGINT * 1000000 + seg_ord AS doc_id, * FROM kept),
+{_HITS.strip().replace("FROM documents)", "FROM segdocs)")}"""
+_source_domain = "CASE video_id::BIGINT % 5 " + " ".join(f"WHEN {i} THEN '{s[0]}'" for i, s in enumerate(SOURCES)) + " END"
+_PRON = "CASE WHEN regexp_matches(surface, '[0-9]') THEN 'mixed_alnum' WHEN regexp_matches(surface, '[a-z]') THEN 'camel_case' ELSE 'spell_out' END"
+_FREE = f"""
+free AS (SELECT *, {_PRON} AS pron FROM norm),
+first AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_hits, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN pron <> 'spell_out' THEN 0 ELSE 1 END, normalized, span_start) AS r FROM free)"""
+_tried = "ORDER BY nc, start, seg_ord"
+_BY_SOURCE = "video_id::BIGINT % 5, video_id::BIGINT"
+
 _ITEMS = "items AS (SELECT doc_id AS item_id, coalesce(source, '') AS video_id, coalesce(lang, '') AS domain, doc_id * 10.0 AS start, doc_id * 10.0 + 5.0 AS \"end\", coalesce(text, '') AS text FROM documents)"
 _clip = "video_id || '_' || lpad(trunc(start * 1000)::BIGINT::VARCHAR, 9, '0') || '_' || lpad(trunc(\"end\" * 1000)::BIGINT::VARCHAR, 9, '0') || '.wav'"
 _failed = r"CASE WHEN event_type = 'error' THEN '[WARN] Video info failed: read timed out ' || coalesce(props, '') WHEN event_type = 'click' THEN 'Expand FAILED' ELSE '[INFO] source=' || event_type END"
@@ -133,13 +147,13 @@ SELECT page_id, length({_SQUEEZE('x')})::INT AS n_chars, md5({_SQUEEZE('x')}) AS
     "segment_stats": f"""WITH RECURSIVE {_SEGMENTS} SELECT video_id, count(*) AS n_segments, round(sum("end" - start), 3) AS seconds,
   sum(len(list_filter(regexp_split_to_array(text, '{_SPACE}'), lambda w: w <> '')))::BIGINT AS n_words FROM kept GROUP BY video_id""",
     "clip_names": f"WITH {_CUES} SELECT video_id, cue_idx, {_clip} AS clip, coalesce(nullif(trim(regexp_replace(text, '[^A-Za-z0-9._-]+', '_', 'g'), '._-'), ''), 'item') AS safe FROM cues",
-    "dedup_text": f"WITH {_ITEMS} SELECT min(item_id) AS item_id, md5(lower(trim(text))) AS text_md5 FROM items GROUP BY lower(trim(text))",
+    "dedup_text": f"WITH {_ITEMS} SELECT min(item_id) AS item_id, md5(lower({_STRIP('text')})) AS text_md5 FROM items GROUP BY lower({_STRIP('text')})",
     "dedup_segment": f"WITH {_ITEMS}, k AS (SELECT item_id, printf('%s:%.3f:%.3f', video_id, start, \"end\") AS dedup_key FROM items) SELECT min(item_id) AS item_id, dedup_key FROM k GROUP BY dedup_key",
     "cap_per_video": f"WITH {_ITEMS} SELECT item_id, video_id FROM items QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY item_id) <= 5",
     "cap_per_domain": f"WITH {_ITEMS} SELECT item_id, domain FROM items QUALIFY row_number() OVER (PARTITION BY domain ORDER BY item_id) <= 25",
     "top_target": f"WITH {_ITEMS}, v AS (SELECT item_id FROM items QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY item_id) <= 30) SELECT row_number() OVER (ORDER BY item_id) AS uid, item_id FROM v ORDER BY item_id LIMIT 100",
     "greedy_select": f"""WITH RECURSIVE {_MANIFEST},
-it AS (SELECT uid, video_id, lower(trim(text)) AS k, (SELECT list(DISTINCT abbr) FROM ranked r WHERE r.doc_id = man.uid) AS abbrs, row_number() OVER (ORDER BY uid) AS i FROM man),
+it AS (SELECT uid, video_id, lower({_STRIP("text")}) AS k, (SELECT list(DISTINCT abbr) FROM ranked r WHERE r.doc_id = man.uid) AS abbrs, row_number() OVER (ORDER BY uid) AS i FROM man),
 st AS (
   SELECT 0::BIGINT AS i, []::BIGINT[] AS ids, []::VARCHAR[] AS vids, []::VARCHAR[] AS keys, []::VARCHAR[] AS abbrs
   UNION ALL
@@ -167,7 +181,7 @@ SELECT (SELECT count(*) FROM man) AS input_records, (SELECT count(*) FROM g) AS
 FROM ranked r JOIN documents d USING (doc_id) WHERE {_few}""",
     "abbr_counter": f"WITH {_HITS} SELECT abbr, count(DISTINCT doc_id) AS n FROM ranked WHERE {_few} GROUP BY abbr",
     "manifest_stats": f"WITH {_MANIFEST} SELECT 2000::BIGINT AS target_count, count(*) AS final_count, count(DISTINCT video_id) AS videos, max(uid) AS max_uid, round(count(*) * 5.0, 3)::DOUBLE AS seconds FROM man",
-    "resume_anti": "SELECT doc_id FROM documents WHERE lower(trim(coalesce(text, ''))) NOT IN (SELECT lower(trim(text)) FROM benchmark WHERE text IS NOT NULL)",
+    "resume_anti": f"SELECT doc_id FROM documents WHERE lower({_STRIP("coalesce(text, '')")}) NOT IN (SELECT lower({_STRIP('text')}) FROM benchmark WHERE text IS NOT NULL)",
     "failure_classify": f"""WITH l AS (SELECT floor(epoch_us(ts)::DOUBLE / 3600000000)::BIGINT AS tick, {_failed} AS line FROM events),
 c AS (SELECT tick, count(*) FILTER (line ILIKE '%video info failed%') AS video_info_failed, count(*) FILTER (line ILIKE '%expand failed%') AS expand_failed,
   count(*) FILTER (line ILIKE '%connection reset by peer%') AS connection_reset, count(*) FILTER (line ILIKE '%read timed out%' OR line ILIKE '%timeout after%') AS read_timeout,
@@ -179,4 +193,25 @@ r AS (SELECT *, sum(CASE WHEN speed = '异常' THEN 0 ELSE 1 END) OVER (ORDER BY
 SELECT tick, n, speed, (sum(CASE WHEN speed = '异常' THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY tick))::BIGINT AS streak FROM r""",
     "subtitle_cues": f"""WITH {_CUES}, n AS (SELECT video_id, start, "end", {_SQUEEZE(_TAGS('text'))} AS text FROM cues)
 SELECT video_id, count(*) AS n_cues, round(sum(start), 3) AS starts, round(sum("end"), 3) AS ends, sum(length(text))::BIGINT AS n_chars FROM n WHERE text <> '' GROUP BY video_id""",
+    "mine_rare_words": rf"""WITH RECURSIVE {_SEGMENTS},
+vw AS (SELECT unnest({_LOWER}) AS word FROM documents),
+vocab AS (SELECT word, count(*) >= 50 AS in_high FROM vw GROUP BY word HAVING count(*) >= 2),
+sw AS (SELECT video_id, seg_ord, unnest(list_distinct({_LOWER})) AS word FROM kept),
+fl AS (SELECT video_id, seg_ord, count(*) FILTER (vocab.word IS NOT NULL) AS n_low, count(*) FILTER (vocab.word IS NULL) AS n_oov
+       FROM sw LEFT JOIN vocab ON sw.word = vocab.word WHERE vocab.word IS NULL OR NOT in_high GROUP BY ALL),
+ok AS (SELECT * FROM kept JOIN fl USING (video_id, seg_ord) WHERE n_low + n_oov BETWEEN 1 AND 12 QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY seg_ord) <= 4)
+SELECT row_number() OVER (ORDER BY {_BY_SOURCE}, seg_ord) AS uid, video_id, round(start, 3) AS start, round("end", 3) AS "end", n_low::INT AS n_low, n_oov::INT AS n_oov,
+  {_source_domain} AS source_domain, md5(text) AS text_md5, {_clip} AS clip FROM ok""",
+    "mine_abbreviations": f"""WITH RECURSIVE {_LOUD_HITS},
+n AS (SELECT doc_id, count(*) AS nc FROM norm GROUP BY doc_id),
+ok AS (SELECT s.*, n.nc, p.n_hits, p.abbr, p.pron, p.tier FROM prim p JOIN n USING (doc_id) JOIN segdocs s USING (doc_id) WHERE p.n_hits <= 3 QUALIFY row_number() OVER (PARTITION BY video_id {_tried}) <= 5)
+SELECT row_number() OVER (ORDER BY {_BY_SOURCE}, nc, start, seg_ord) AS uid, video_id, round(start, 3) AS start, n_hits::INT AS n_hits, abbr AS primary_abbr, pron AS primary_pron_type, tier AS primary_confidence_tier, md5(text) AS text_md5 FROM ok""",
+    "mine_candidates": f"""WITH RECURSIVE {_LOUD_HITS}, {_FREE},
+ok AS (SELECT s.*, f.n_hits AS nc, f.normalized, f.pron FROM first f JOIN segdocs s USING (doc_id) WHERE r = 1 AND f.n_hits <= 3 QUALIFY row_number() OVER (PARTITION BY video_id {_tried}) <= 5)
+SELECT row_number() OVER (ORDER BY {_BY_SOURCE}, nc, start, seg_ord) AS uid, video_id, round(start, 3) AS start, nc::INT AS n_hits, normalized AS primary_abbr, pron AS primary_pron_type,
+  'candidate_only' AS primary_confidence_tier, 'candidate_only' AS match_mode, md5(text) AS text_md5 FROM ok""",
+    "candidate_primary": f"WITH {_HITS}, {_FREE} SELECT doc_id, n_hits::INT AS n_hits, normalized AS primary_abbr, pron AS primary_pron_type, 'candidate_only' AS match_mode FROM first WHERE r = 1",
+    "source_counter": f"WITH {_MANIFEST} SELECT coalesce(d.lang, '') AS source_domain, count(*) AS n FROM man m JOIN documents d ON d.doc_id = m.uid GROUP BY 1",
+    "review_sheet": f"WITH {_MANIFEST} SELECT doc_id AS uid, abbr, surface, reading AS canonical_reading, pron AS pron_type, tier AS confidence_tier FROM ranked WHERE {_few}",
+    "open_videos": f"WITH {_MANIFEST}, c AS (SELECT video_id, count(*) AS n FROM man GROUP BY video_id) SELECT doc_id, coalesce(source, '') AS video_id FROM documents LEFT JOIN c ON c.video_id = coalesce(source, '') WHERE coalesce(n, 0) < 50",
 }

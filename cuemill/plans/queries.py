@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import RareWordConfig
+from ..config import AbbreviationConfig, RareWordConfig
 from ..functions import text as X
-from ..operators import abbr, package, score, segment, select, stats
+from ..operators import abbr, mining, package, score, segment, select, stats
 from ..sources import subtitles
 from ..sources.rules import quota_plan as plan_quotas
-from .tables import DENYLIST, LEXICON, abbr_items, cues, manifest, md5, rules, table
+from .tables import DENYLIST, LEXICON, abbr_items, cues, found, manifest, md5, rules, subtitle_files, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,7 +40,9 @@ def rare_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rare_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     rare = score.rare_words(docs, _vocabulary(spark, sf_dir), "doc_id")
-    kept = score.gate(docs.join(rare, "doc_id"), RareWordConfig(max_rare_words=60), LEXICON)
+    # features first, so that no text meets the word sets
+    narrow = score.gate_features(docs, LEXICON).select("doc_id", "lang", "n_tokens", "domains", "entities")
+    kept = score.passes(narrow.join(rare, "doc_id"), RareWordConfig(max_rare_words=60))
     return kept.withColumn("domain", score.assign_domain(F.lit("multi"), F.col("domains"))).groupBy("lang", "domain").agg(F.count("*").alias("n_docs"), F.sum(F.size("rare_words")).alias("n_rare"))
 
 
@@ -114,14 +116,16 @@ def expand_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def caption_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = X.normalize_caption(F.col("html"))
-    return table(spark, sf_dir, "pages").select("page_id", F.length(clean).alias("n_chars"), md5(clean).alias("text_md5"))
+    rows = X.once(table(spark, sf_dir, "pages").select("page_id", "html"), "clean", X.normalize_caption(F.col("html")))
+    clean = F.col("clean")
+    return rows.select("page_id", F.length(clean).alias("n_chars"), md5(clean).alias("text_md5"))
 
 
 @query
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = X.clean_text(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", F.length(clean).alias("n_chars"), X.bad_punctuation(F.col("text")).alias("n_bad"), X.word_count(clean).alias("n_words"), md5(clean).alias("text_md5"))
+    rows = X.once(_docs(spark, sf_dir).select("doc_id", "text"), "clean", X.clean_text(F.col("text")))
+    clean = F.col("clean")
+    return rows.select("doc_id", F.length(clean).alias("n_chars"), X.bad_punctuation(F.col("text")).alias("n_bad"), X.word_count(clean).alias("n_words"), md5(clean).alias("text_md5"))
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +180,7 @@ def top_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def greedy_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = abbr_items(spark, sf_dir).select("item_id", "video_id", F.lower(F.btrim("text")).alias("dedup_key"), F.array_distinct(F.transform("abbreviations", lambda h: h["abbr"])).alias("abbr")).withColumn("dedup_key", md5(F.col("dedup_key")))
+    items = abbr_items(spark, sf_dir).select("item_id", "video_id", F.lower(X.strip(F.col("text"))).alias("dedup_key"), F.array_distinct(F.transform("abbreviations", lambda h: h["abbr"])).alias("abbr")).withColumn("dedup_key", md5(F.col("dedup_key")))
     return select.sequential(items, ["item_id"], select.Quotas(target=40, per_video=4, caps={"abbr": 9}))
 
 
@@ -186,7 +190,7 @@ def greedy_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     pron, tier = plan_quotas(rules(), 24)
     x = abbr_items(spark, sf_dir)
     field = lambda f: F.array_distinct(F.transform("abbreviations", lambda h: h[f]))
-    items = x.select("item_id", "video_id", md5(F.lower(F.btrim("text"))).alias("dedup_key"), field("abbr").alias("abbr"), field("pron_type").alias("pron"), field("confidence_tier").alias("tier"), F.col("primary_pron_type").alias("primary_pron"), F.col("primary_confidence_tier").alias("primary_tier"), F.size("abbreviations").alias("n"), "start")
+    items = x.select("item_id", "video_id", md5(F.lower(X.strip(F.col("text")))).alias("dedup_key"), field("abbr").alias("abbr"), field("pron_type").alias("pron"), field("confidence_tier").alias("tier"), F.col("primary_pron_type").alias("primary_pron"), F.col("primary_confidence_tier").alias("primary_tier"), F.size("abbreviations").alias("n"), "start")
     return select.sequential(items, ["n", "start", "item_id"], select.Quotas(target=24, per_video=10, caps={"abbr": 9}, primary={"pron": pron, "tier": tier}))
 
 
@@ -277,9 +281,54 @@ def speed_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def subtitle_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations written as subtitle files and parsed back."""
-    time = lambda c: F.format_string("%02d:%02d:%02d.%03d", F.floor(c / 3600000), F.floor(c / 60000) % 60, F.floor(c / 1000) % 60, c % 1000)
-    ms = lambda c: F.round(F.col(c) * 1000).cast("long")
-    block = F.concat(time(ms("start")), F.lit(" --> "), time(ms("end")), F.lit("\n"), F.col("text"), F.lit("\n"))
-    files = cues(spark, sf_dir).groupBy("video_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cue_idx", block.alias("b")))), lambda x: x["b"]), "\n").alias("b"))
-    parsed = subtitles.parse_cues(files.select("video_id", F.concat(F.lit("WEBVTT\n\nNOTE made from turns\n\n"), F.col("b")).alias("body")))
+    parsed = subtitles.parse_cues(subtitle_files(spark, sf_dir).select("video_id", "body"))
     return parsed.groupBy("video_id").agg(F.count("*").alias("n_cues"), F.round(F.sum("start"), 3).alias("starts"), F.round(F.sum("end"), 3).alias("ends"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@query
+def mine_rare_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From sources, listings and subtitle files to the rare-word manifest; no cap but that of a video binds."""
+    vocab = score.vocabulary(score.lowercase_words(_docs(spark, sf_dir)), low=2, high=50)
+    config = RareWordConfig(target_count=10**9, max_per_video=4, max_rare_words=12, require_keyword=False, dedup_key="segment")
+    made = mining.mine_rare_words(found(spark, sf_dir), vocab, config=config, out_dir="/out", lexicon=LEXICON).records
+    return made.select("uid", "video_id", "start", "end", F.size("freq_1_9_words").alias("n_low"), F.size("oov_words").alias("n_oov"), "source_domain", md5(F.col("text")).alias("text_md5"), F.substring_index("audio_path", "/", -1).alias("clip"))
+
+
+def _abbreviation_config() -> AbbreviationConfig:
+    return AbbreviationConfig(target_count=10**9, max_per_video=5, max_per_abbr=10**9, max_abbrs_per_sentence=3, dedup_key="segment")
+
+
+@query
+def mine_abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mining.mine_abbreviations(found(spark, sf_dir, True), rules(), config=_abbreviation_config()).records
+    return made.select("uid", "video_id", "start", F.size("abbreviations").alias("n_hits"), "primary_abbr", "primary_pron_type", "primary_confidence_tier", md5(F.col("text")).alias("text_md5"))
+
+
+@query
+def mine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mining.mine_candidates(found(spark, sf_dir, True), config=_abbreviation_config()).records
+    return made.select("uid", "video_id", "start", F.size("abbreviations").alias("n_hits"), "primary_abbr", "primary_pron_type", "primary_confidence_tier", "match_mode", md5(F.col("text")).alias("text_md5"))
+
+
+@query
+def candidate_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hit of documents without rules."""
+    docs = _docs(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return abbr.score(docs, None, None).select("doc_id", F.size("abbreviations").alias("n_hits"), "primary_abbr", "primary_pron_type", "match_mode")
+
+
+@query
+def source_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.counter(manifest(spark, sf_dir), "source_domain")
+
+
+@query
+def review_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abbr.review(manifest(spark, sf_dir)).select("uid", "abbr", "surface", "canonical_reading", "pron_type", "confidence_tier")
+
+
+@query
+def open_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of sources that have fewer than 50 records in the manifest."""
+    docs = _docs(spark, sf_dir).select("doc_id", F.coalesce("source", F.lit("")).alias("video_id"))
+    return stats.open_videos(docs, manifest(spark, sf_dir), 50)

@@ -10,3 +10,4 @@ ABBR_MANIFEST = f"uid bigint, URL string, video_id string, start double, end dou
 CANDIDATE_MANIFEST = ABBR_MANIFEST + ", match_mode string"
 RULE = "abbr string, canonical_reading string, pron_type string, confidence_tier string, rule_id string, variants array<string>, notes string"
 MONITOR_STATE = "saved_count bigint, live_clip_count bigint, log_offset bigint, current_source string, abnormal_streak int, timestamp string"
+ITEM = f"struct<id:int,abbr:string,surface:string,text:string,text_expanded:string,audio_file:string,original_uid:bigint,video_id:string,URL:string,start:double,end:double,source_domain:string,source_note:string,primary_pron_type:string,primary_confidence_tier:string,match_mode:string,abbreviation:struct<abbr:string,surface:string,span_start:int,span_end:int,pron_type:string,confidence_tier:string,canonical_reading:string,rule_id:string,is_rule_confirmed:boolean>,original_audio_path:string>"

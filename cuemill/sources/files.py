@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import patterns as P
+from ..functions import text as X
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -19,8 +21,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def seed_sources(spark: SparkSession, path: str) -> DataFrame:
     """source_idx, domain, url, note. One column is a URL of domain `unknown`, two are domain and URL."""
-    rows = _lines(spark, path).withColumn("value", F.btrim("value")).filter("value <> '' and not startswith(value, '#')")
-    p = F.transform(F.split("value", "\t"), lambda x: F.btrim(x))
+    rows = _lines(spark, path).withColumn("value", X.strip(F.col("value"))).filter("value <> '' and not startswith(value, '#')")
+    p = F.transform(F.split("value", "\t"), X.strip)
     part = lambda i: F.coalesce(F.get(p, i), F.lit(""))
     one = F.size(p) == 1
     order = F.row_number().over(Window.orderBy("line_idx")) - 1
@@ -37,7 +39,7 @@ def vocabulary(spark: SparkSession, low: str, high: str) -> DataFrame:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             found = spark.createDataFrame([], "value string")
-        found = found.select(F.lower(F.btrim(F.get(F.split(F.btrim("value"), "\t"), F.lit(0)))).alias("word")).distinct()
+        found = found.select(F.lower(X.strip(F.get(F.split(X.strip(F.col("value")), "\t"), F.lit(0)))).alias("word")).distinct()
         if found.isEmpty():
             raise ValueError(f"vocabulary is empty: {path}")
         return found.withColumn(flag, F.lit(True))
@@ -46,7 +48,7 @@ def vocabulary(spark: SparkSession, low: str, high: str) -> DataFrame:
 
 
 def denylist(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.btrim("value").alias("abbr")).filter("abbr <> '' and not startswith(abbr, '#')").distinct()
+    return spark.read.text(path).select(X.strip(F.col("value")).alias("abbr")).filter("abbr <> '' and not startswith(abbr, '#')").distinct()
 
 
 def records(spark: SparkSession, path: str, schema: str = schemas.ABBR_MANIFEST) -> DataFrame:
@@ -69,11 +71,41 @@ def next_pool(current: str, order: list[str]) -> str | None:
     return order[0] if order else None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def count_lines(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).count()
+    """Lines of a file; 0 where there is none."""
+    return spark.read.text(path).count() if exists(spark, path) else 0
+
+
+def wav_files(spark: SparkSession, path: str) -> list[str]:
+    """The *.wav files in a run's folder, in any case, empty ones too, and not below it; no folder, no files."""
+    if not exists(spark, path):
+        return []
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.[wW][aA][vV]")
+    return [s.getPath().toString() for s in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) if s.isFile()]
+
+
+def stored_stats(path: str) -> dict:
+    """The statistics of an earlier run; none if the file is missing or broken."""
+    try:
+        found = json.loads(Path(path).read_text(encoding="utf-8"))
+    except (OSError, ValueError):
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def listings(spark: SparkSession, path: str) -> DataFrame:
+    """source_url, entries, error: JSON lines of what sources list."""
+    return spark.read.schema("source_url string, entries array<struct<webpage_url:string,url:string>>, error string").json(path)
 
 
-def wav_files(spark: SparkSession, path: str) -> DataFrame:
-    """path of each *.wav file below path; contents aren't read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{wav,WAV,Wav}").load(path)
-    return listed.select("path")
+def infos(spark: SparkSession, path: str) -> DataFrame:
+    """url, id, webpage_url, subtitles (lang and formats, in order), error: JSON lines of descriptions of videos.
+    Lines with an error or without anything else have no info."""
+    raw = spark.read.schema("url string, id string, webpage_url string, subtitles map<string,array<struct<ext:string,url:string>>>, error string").json(path)
+    subs = F.transform(F.coalesce(F.map_entries("subtitles"), F.expr("cast(array() as array<struct<key:string,value:array<struct<ext:string,url:string>>>>)")), lambda e: F.struct(e["key"].alias("lang"), e["value"].alias("formats")))
+    return raw.filter(F.col("error").isNull()).select("url", "id", "webpage_url", subs.alias("subtitles"))

@@ -29,10 +29,6 @@ class Rule:
         return list(dict.fromkeys((self.abbr, *self.variants)))
 
 
-def default_rules() -> list[Rule]:
-    return check([dict(zip(P.RULE_COLUMNS, row, strict=True)) for row in P.DEFAULT_RULES])
-
-
 def check(rows: list[dict]) -> list[Rule]:
     """Rules of the rows, in order; RuleError names the row at fault (rows count from 2, after the header)."""
     rules: dict[str, Rule] = {}

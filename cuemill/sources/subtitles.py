@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SourceConfig
@@ -11,6 +11,7 @@ from ..functions import text as X
 
 #: Fixed value: the form of a bare video id.
 VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
+_CUE = "\ue000"  # marks a line that opens a cue
 
 
 def read_subtitles(spark: SparkSession, path: str) -> DataFrame:
@@ -20,33 +21,33 @@ def read_subtitles(spark: SparkSession, path: str) -> DataFrame:
     named = files.withColumn("video_id", F.get(name, F.lit(0))).withColumn("lang", F.get(name, F.lit(1)))
     newest = named.groupBy("video_id", "lang").agg(F.max_by("path", "modificationTime").alias("path"))
     # paths first, so that only the newest contents are shuffled
-    return files.select("path", "content").join(newest, "path").select("video_id", "lang", F.decode(F.col("content"), "UTF-8").alias("body"))
+    return files.select("path", "content").join(newest, "path").select("video_id", "lang", "path", F.decode(F.col("content"), "UTF-8").alias("body"))
 
 
-def cue_lines(body: Column) -> Column:
-    """array<struct<header, text>> by a fold over the lines: a line with a time span opens a cue, a blank line ends its text."""
-    empty = F.expr("cast(array() as array<struct<header:string,lines:array<string>>>)")
+def cue_parts(body: Column) -> Column:
+    """array<struct<header, text>>: one for each line with a time span, with the lines after it up to a blank one.
 
-    def step(acc: Column, raw: Column) -> Column:
-        line = F.btrim(F.regexp_replace(raw, "^" + P.WHITESPACE + "|" + P.WHITESPACE + "$", ""))
-        last = F.element_at(acc["cues"], -1)
-        noise = F.lit(False)
-        for word in P.CUE_NOISE:
-            noise = noise | line.startswith(word)
-        grown = F.concat(F.slice(acc["cues"], 1, F.size(acc["cues"]) - 1), F.array(F.struct(last["header"].alias("header"), F.concat(last["lines"], F.array(line)).alias("lines"))))
-        opened = F.concat(acc["cues"], F.array(F.struct(line.alias("header"), F.expr("cast(array() as array<string>)").alias("lines"))))
-        opens = line.rlike(P.TIMESPAN)
-        cues = F.when(opens, opened).when(acc["open"] & (line != "") & ~noise, grown).otherwise(acc["cues"])
-        return F.struct((opens | acc["open"] & (line != "")).alias("open"), cues.alias("cues"))
+    The body is cut before the lines that open a cue, so that no array grows line by line; a cue's text is what stands
+    before the first blank line of its own piece."""
+    lines = F.transform(F.split(F.translate(body, _CUE, "\ufffd"), P.LINE_BREAK), X.strip)
+    marked = F.transform(lines, lambda x: F.when(x.rlike(P.TIMESPAN), F.concat(F.lit(_CUE), x)).otherwise(x))
+    pieces = F.split(F.concat(F.lit("\n"), F.array_join(marked, "\n")), "\n" + _CUE)
+    noise = "(?:" + "|".join(P.CUE_NOISE) + ")"
 
-    return F.aggregate(F.split(body, P.LINE_BREAK), F.struct(F.lit(False).alias("open"), empty.alias("cues")), step, lambda acc: acc["cues"])
+    def piece(p: Column) -> Column:
+        own = F.substring_index(p, "\n\n", 1)
+        text = F.regexp_replace(F.concat(F.lit("\n"), F.substr(own, F.length(F.substring_index(own, "\n", 1)) + 2, F.length(own))), rf"\n{noise}[^\n]*", "")
+        return F.struct(F.substring_index(own, "\n", 1).alias("header"), F.btrim(F.translate(text, "\n", " ")).alias("text"))
+
+    return F.transform(F.slice(pieces, 2, F.size(pieces)), piece)
 
 
 def parse_cues(files: DataFrame) -> DataFrame:
     """video_id, cue_idx, start, end, text of files (video_id, body). No shuffle: a file is parsed where it is read."""
-    found = files.select("video_id", F.posexplode(cue_lines(F.col("body"))).alias("cue_idx", "c"))
+    found = files.select("video_id", F.posexplode(cue_parts(F.col("body"))).alias("cue_idx", "c"))
     time = lambda i: X.seconds(F.regexp_extract("c.header", P.TIMESPAN, i))
-    cues = found.select("video_id", "cue_idx", time(1).alias("start"), time(2).alias("end"), X.normalize_caption(F.array_join("c.lines", " ")).alias("text"))
+    cues = found.select("video_id", "cue_idx", time(1).alias("start"), time(2).alias("end"), F.col("c.text").alias("raw"))
+    cues = X.once(cues, "text", X.normalize_caption(F.col("raw"))).drop("raw")
     return cues.filter((F.col("text") != "") & ~F.col("text").rlike(P.SOUND_CUE))
 
 
@@ -67,7 +68,7 @@ def is_direct_url(url: Column) -> Column:
 def expand_urls(sources: DataFrame, listings: DataFrame, config: SourceConfig = SourceConfig()) -> DataFrame:
     """source_idx, video_idx, url, domain, note: direct URLs themselves, else the entries of the source's listing
     (source_url, entries), capped, first occurrences only. listings come from the acquisition connector."""
-    x = sources.join(listings.withColumnRenamed("source_url", "url"), "url", "left")
+    x = sources.join(listings.select(F.col("source_url").alias("url"), "entries").filter("url is not null").dropDuplicates(["url"]), "url", "left")
     direct = is_direct_url(F.col("url"))
     entries = F.coalesce("entries", F.expr("cast(array() as array<struct<webpage_url:string,url:string>>)"))
     page = lambda e: F.nullif(e["webpage_url"], F.lit(""))
@@ -83,6 +84,9 @@ def expand_urls(sources: DataFrame, listings: DataFrame, config: SourceConfig =
     return x.select("source_idx", "domain", "note", F.posexplode(one).alias("video_idx", "video_url")).withColumnRenamed("video_url", "url")
 
 
-def newest_listing(listings: DataFrame, key: str, when: str) -> DataFrame:
-    order = Window.partitionBy(key).orderBy(F.desc(when))
-    return listings.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+def unexpanded(sources: DataFrame, listings: DataFrame, config: SourceConfig = SourceConfig()) -> DataFrame:
+    """source_idx, url, problem of the sources from which no video comes."""
+    made = expand_urls(sources, listings, config).select("source_idx").distinct()
+    errors = listings.groupBy(F.col("source_url").alias("url")).agg(F.max("error").alias("error"), F.count("*").alias("_n"))
+    x = sources.join(made, "source_idx", "left_anti").join(errors, "url", "left")
+    return x.select("source_idx", "url", F.coalesce("error", F.when(F.col("_n").isNull(), "no listing").otherwise("no videos")).alias("problem"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cuemill.functions import patterns as P
 from cuemill.operators import abbr, select
 from cuemill.plans import queries
-from cuemill.sources.files import denylist, next_pool, seed_sources
+from cuemill.sources.files import count_lines, denylist, next_pool, seed_sources, wav_files
 from cuemill.sources.subtitles import expand_urls, manual_language
 from cuemill.streaming import monitor
 
@@ -37,7 +37,7 @@ def test_windowed_without_limits(spark):
 
 def test_primary_hit_has_no_limit_of_hits(spark, monkeypatch):
     asked = []
-    monkeypatch.setattr(abbr, "score", lambda rows, rules, max_hits=2, text="text": asked.append(max_hits))
+    monkeypatch.setattr(abbr, "score", lambda rows, rules, max_hits=2, text="text", key="item_id": asked.append(max_hits))
     docs = spark.createDataFrame([(1, "a", "s", "en")], "doc_id long, text string, source string, lang string")
     monkeypatch.setattr("cuemill.plans.tables.table", lambda *_: docs)
     try:
@@ -64,23 +64,52 @@ def test_monitor_ladder():
     assert len(summary) == 20
 
 
-def test_monitor_stream(spark, tmp_path):
-    logs, out = tmp_path / "logs", tmp_path / "out"
-    logs.mkdir()
-    (logs / "a.log").write_text("[INFO] source=one\nVideo info FAILED: read timed out\nfine\n[INFO] source=two\n")
-    q = monitor.watch(spark, str(logs), str(out), lambda: (3, 5), checkpoint=str(tmp_path / "cp"), pool="broad_pool", pools={"order": ["stable_ted"], "stable_ted": "s.tsv"}, every=None)
-    q.awaitTermination(60)
-    latest = json.loads((out / "monitor_latest.json").read_text())
-    assert (latest["failure_lines"], latest["failure_counts"]["read_timeout"], latest["current_source"], latest["unsaved_gap"], latest["next_seed"]) == (1, 1, "two", 2, "s.tsv")
-    assert monitor.load_state(str(out)).live_clip_count == 5
+def _wait(condition, seconds=60):
+    import time
 
+    end = time.time() + seconds
+    while time.time() < end and not condition():
+        time.sleep(0.2)
+    assert condition()
 
-def test_log_delta(tmp_path):
+
+def test_monitor_reports_a_stalled_run(spark, tmp_path):
+    """Ticks go on without new lines: baseline, then too slow, then the advice to change the source, and an alert."""
+    run = monitor.Run(str(tmp_path), "broad_pool", {"order": ["stable_ted"], "stable_ted": "s.tsv"}, clock=lambda: "now")
+    (tmp_path / "clips_wav").mkdir()
+    (tmp_path / "clips_wav" / "a.WAV").write_text("")
+    (tmp_path / "clips_wav" / "below").mkdir()
+    (tmp_path / "clips_wav" / "below" / "b.wav").write_text("")
+    (tmp_path / "run.log").write_text("[INFO] source=one\nVideo info FAILED: read timed out\nfine\n[INFO] source=two\n")
+    events = tmp_path / "monitoring" / "monitor_events.jsonl"
+    q = monitor.watch(spark, run, checkpoint=str(tmp_path / "cp"), every=1)
+    try:
+        _wait(lambda: events.exists() and len(events.read_text().splitlines()) >= 3)
+    finally:
+        q.stop()
+    seen = [json.loads(x) for x in events.read_text().splitlines()]
+    assert [(x["status_level"], x["suggested_action"]) for x in seen[:3]] == [("baseline", "观察"), ("异常", "观察"), ("异常", "建议切源")]
+    assert (seen[0]["failure_lines"], seen[0]["failure_counts"]["read_timeout"], seen[0]["current_source"], seen[1]["failure_lines"], seen[1]["current_source"]) == (1, 1, "two", 0, "two")
+    assert (seen[0]["saved_count"], seen[0]["live_clip_count"], seen[0]["unsaved_gap"]) == (0, 1, 1)
+    assert "next_seed=s.tsv" in (tmp_path / "monitoring" / "ALERT.txt").read_text()
+    state = monitor.load_state(run.monitoring)
+    assert state.log_offset == (tmp_path / "run.log").stat().st_size and state.batch >= 2
+    assert monitor.run_once(spark, run, state.batch) is None  # a batch that is run again changes nothing
+    assert monitor.load_state(run.monitoring) == state
+
+
+def test_log_tail(spark, tmp_path):
     p = tmp_path / "run.log"
-    assert monitor.read_log_delta(str(p), 5) == ("", 0)
-    p.write_text("abcdef")
-    assert monitor.read_log_delta(str(p), 2) == ("cdef", 6)
-    assert monitor.read_log_delta(str(p), 60) == ("abcdef", 6)
+
+    def read(offset, block=1 << 20):
+        lines, end = monitor.new_lines(spark, str(p), offset, block)
+        return list(lines), end()
+
+    assert read(5) == ([], 0)
+    p.write_bytes("ab\ncé\r\nd\xffe".encode("latin-1").replace(b"\xe9", "é".encode()))
+    want = ["ab", "cé", "de"]
+    assert read(0) == (want, p.stat().st_size) and read(0, 1)[0] == want
+    assert read(3)[0] == want[1:] and read(60)[0] == want
 
 
 def test_sources(spark, tmp_path):
@@ -88,6 +117,10 @@ def test_sources(spark, tmp_path):
     p.write_text("# note\n\nhttps://u.example/a\nbio\thttps://u.example/watch?v=1\nmed \t https://u.example/l \t n \t x\n")
     got = seed_sources(spark, str(p))
     assert [tuple(r) for r in got.orderBy("source_idx").collect()] == [(0, "unknown", "https://u.example/a", ""), (1, "bio", "https://u.example/watch?v=1", ""), (2, "med", "https://u.example/l", "n")]
+    tabs = tmp_path / "tabs.tsv"
+    tabs.write_text("https://u.example/a\t\n\tbio\thttps://u.example/b\n\u00a0# note\n")
+    assert [tuple(r)[1:] for r in seed_sources(spark, str(tabs)).orderBy("source_idx").collect()] == [("unknown", "https://u.example/a", ""), ("bio", "https://u.example/b", "")]
+    assert count_lines(spark, str(tmp_path / "missing")) == 0 and wav_files(spark, str(tmp_path / "missing")) == []
     (tmp_path / "deny.txt").write_text("AB\n# c\n\n CD \nAB\n")
     assert sorted(r.abbr for r in denylist(spark, str(tmp_path / "deny.txt")).collect()) == ["AB", "CD"]
     listing = [("https://u.example/l", [("", "https://v/1"), ("https://p/2", ""), ("", "ABCDEFGHIJK"), ("", "https://v/1"), ("", "no")])]

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
 from cuemill.operators import abbr
-from cuemill.sources.rules import RuleError, check, default_rules, quota_plan
+from cuemill.sources.rules import RuleError, check, quota_plan
 
 
 def one(spark, column, value):
@@ -42,8 +42,13 @@ def test_safe_name(spark, text, want):
     assert one(spark, X.safe_name, text) == want
 
 
+def own_rules():
+    kinds = [("DNA", "d n a", "spell_out", "high_conf"), ("mRNA", "m r n a", "camel_case", "high_conf"), ("CRISPR", "crisper", "lexicalized", "low_conf"), ("H5N1", "h five n one", "mixed_alnum", "low_conf")]
+    return check([{"abbr": a, "canonical_reading": r, "pron_type": p, "confidence_tier": t, "rule_id": "", "variants": "", "notes": ""} for a, r, p, t in kinds])
+
+
 def test_expand_readings(spark):
-    got = one(spark, lambda c: X.expand_readings(c, abbr.match_rules(X.abbreviation_candidates(c), default_rules())), "mRNA and DNA")
+    got = one(spark, lambda c: X.expand_readings(c, abbr.match_rules(X.abbreviation_candidates(c), own_rules())), "mRNA and DNA")
     assert got == "m r n a and d n a"
 
 
@@ -82,4 +87,4 @@ def test_rule_conflicts():
     with pytest.raises(RuleError, match="belongs"):
         check([GOOD, GOOD | {"abbr": "CD", "rule_id": "r2"}])
     assert len(check([GOOD, GOOD | {"abbr": "CD"}])) == 2
-    assert quota_plan(default_rules(), 2000) == ({"camel_case": 500, "lexicalized": 500, "mixed_alnum": 500, "spell_out": 500}, {"high_conf": 1000, "low_conf": 1000})
+    assert quota_plan(own_rules(), 2000) == ({"camel_case": 500, "lexicalized": 500, "mixed_alnum": 500, "spell_out": 500}, {"high_conf": 1000, "low_conf": 1000})
