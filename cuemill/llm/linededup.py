@@ -7,8 +7,8 @@ select it: these are the fingerprints. A run of `min_words` words or more that t
 and both places select the same line of it, so they meet in a fingerprint: detection is guaranteed.
 
 Positions are joined by the selected line's hash. Where a hash has at most `PAIRS` positions, every later one meets every
-earlier one; meetings of the same two documents at the same distance are one match, which is extended both ways over
-the documents' line hashes, and kept as a run if it has `min_words` words. Hashes with more positions (a common line,
+earlier one that a window of equal content selected; meetings of the same two documents at the same distance are one
+match, which is extended both ways over the documents' line hashes, and kept as a run if it has `min_words` words. Hashes with more positions (a common line,
 thousands of copies) would give pairs without end. There the windows that selected the line stand for it: windows are
 joined by the hash of their whole content to the first place that has it, and windows that overlap make up the run.
 Every line of a run lies in a window inside the run, so both ways delete the same lines: those of all runs that an
@@ -134,9 +134,11 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
     counts = staged(prints.groupBy("key").count().filter("count > 1"), "positions")
     own = staged(held.dropDuplicates(_KEYS), "line-rows")
 
-    few = prints.select("key", *_KEYS, "p").join(counts.filter(F.col("count") <= pairs), "key")
-    met = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_KEYS, "p"))).alias("x"))
-    each = met.select(F.posexplode("x").alias("i", "later"), "x").select("later", F.explode(F.slice("x", F.lit(1), F.col("i"))).alias("earlier"))
+    few = prints.select("key", *_KEYS, "p", "windows").join(counts.filter(F.col("count") <= pairs), "key")
+    met = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_KEYS, "p", "windows"))).alias("x"))
+    # a run holds a whole window, which both places have among those that selected the line
+    earlier = F.filter(F.slice("x", F.lit(1), F.col("i")), lambda e: F.arrays_overlap(e["windows"], F.col("later.windows")))
+    each = met.select(F.posexplode("x").alias("i", "later"), "x").select("later", F.explode(earlier).alias("earlier"))
     shift = (F.col("later.p") - F.col("earlier.p")).alias("shift")
     matches = each.groupBy(F.col("later._doc").alias("_doc"), F.col("later._text").alias("_text"), F.col("earlier._doc").alias("e_doc"), F.col("earlier._text").alias("e_text"), shift).agg(F.collect_set("later.p").alias("places"))
     early = own.select(F.col("_doc").alias("e_doc"), F.col("_text").alias("e_text"), F.col("h").alias("e"))
