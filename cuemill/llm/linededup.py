@@ -113,11 +113,12 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
-            rows = list(zip(*map(line_rows, texts), strict=True))
-            kinds = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], [*_KEYS, "at", "h", "w"])
+            rows = [(d, t, *x) for d, t, x in zip(batch.column("_doc").to_pylist(), batch.column("_text").to_pylist(), map(line_rows, texts), strict=True) if sum(x[2]) >= min_words]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], [*_KEYS, "at", "h", "w"])
 
-    held = staged(keyed.mapInArrow(lines, "_doc long, _text long, at array<int>, h array<long>, w array<int>"), "lines")
+    # documents with fewer words have no window; equal rows are one document
+    own = staged(keyed.mapInArrow(lines, "_doc long, _text long, at array<int>, h array<long>, w array<int>").dropDuplicates(_KEYS), "lines")
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
@@ -129,12 +130,12 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], ["key", *_KEYS, "p", "windows", "starts", "ends"])
 
-    prints = staged(held.select(*_KEYS, "h", "w").dropDuplicates(_KEYS).mapInArrow(select, "key long, _doc long, _text long, p int, windows array<long>, starts array<int>, ends array<int>"), "fingerprints")
+    prints = staged(own.select(*_KEYS, "h", "w").mapInArrow(select, "key long, _doc long, _text long, p int, windows array<long>, starts array<int>, ends array<int>"), "fingerprints")
     # tables that are joined to hot keys are staged: between two plain shuffles a skewed join can be split
     counts = staged(prints.groupBy("key").count().filter("count > 1"), "positions")
-    own = staged(held.dropDuplicates(_KEYS), "line-rows")
+    shared = staged(prints.join(counts, "key"), "shared-lines")
 
-    few = prints.select("key", *_KEYS, "p", "windows").join(counts.filter(F.col("count") <= pairs), "key")
+    few = shared.filter(F.col("count") <= pairs).select("key", *_KEYS, "p", "windows")
     met = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_KEYS, "p", "windows"))).alias("x"))
     # a run holds a whole window, which both places have among those that selected the line
     earlier = F.filter(F.slice("x", F.lit(1), F.col("i")), lambda e: F.arrays_overlap(e["windows"], F.col("later.windows")))
@@ -152,7 +153,7 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
 
     extended = both.mapInArrow(stretch, "_doc long, _text long, start int, end int")
 
-    many = prints.join(counts.filter(F.col("count") > pairs).select("key"), "key").select(*_KEYS, F.explode(F.arrays_zip("windows", "starts", "ends")).alias("x"))
+    many = shared.filter(F.col("count") > pairs).select(*_KEYS, F.explode(F.arrays_zip("windows", "starts", "ends")).alias("x"))
     many = staged(many.select(F.col("x.windows").alias("window"), *_KEYS, F.col("x.starts").alias("start"), F.col("x.ends").alias("end")), "windows")
     first = staged(many.groupBy("window").agg(F.min(F.struct(*_KEYS, "start")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("window", "s"), "first-places")
     again = many.join(first, "window").filter(F.struct(*_KEYS, "start") != F.col("s")).select(*_KEYS, "start", "end")
@@ -165,7 +166,7 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
             yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), pa.array(gone, pa.list_(pa.bool_()))], [*_KEYS, "_gone"])
 
     out = staged(found.join(own.select(*_KEYS, "at"), _KEYS).select(*_KEYS, "runs", "at").mapInArrow(gather, "_doc long, _text long, _gone array<boolean>"), "gone-lines")
-    drop_staged(held, prints, counts, own, many, first, found)
+    drop_staged(prints, counts, shared, own, many, first, found)
     return out
 
 
