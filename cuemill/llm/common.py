@@ -58,11 +58,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends at files that outlive executors."""
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends at files that outlive executors. options: the writer's."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

@@ -493,7 +493,7 @@ def store(docs: DataFrame, *, text: str = "text", media: str = "media") -> DataF
 
 def write_media(docs: DataFrame, *, text: str = "text", media: str = "media") -> DataFrame:
     """The rows of `store`, written to the shared folder and read back."""
-    return staged(store(docs, text=text, media=media), "media")
+    return staged(store(docs, text=text, media=media), "media", compression="zstd")  # a quarter less than the streams
 
 
 def _media_slices(batches: Iterator[pa.RecordBatch], media: str) -> Iterator[tuple[pa.RecordBatch, list, list]]:
