@@ -133,7 +133,8 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
     prints = staged(own.select(*_KEYS, "h", "w").mapInArrow(select, "key long, _doc long, _text long, p int, windows array<long>, starts array<int>, ends array<int>"), "fingerprints")
     # tables that are joined to hot keys are staged: between two plain shuffles a skewed join can be split
     counts = staged(prints.groupBy("key").count().filter("count > 1"), "positions")
-    shared = staged(prints.join(counts, "key"), "shared-lines")
+    # what is joined here grows with the corpus and is never broadcast; a merge join can be split where a key is hot
+    shared = staged(prints.join(counts.hint("merge"), "key"), "shared-lines")
 
     few = shared.filter(F.col("count") <= pairs).select("key", *_KEYS, "p", "windows")
     met = few.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_KEYS, "p", "windows"))).alias("x"))
@@ -165,7 +166,7 @@ def repeated_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, pairs: int =
             gone = [gone_lines([(x["start"], x["end"]) for x in runs], at) for runs, at in zip(*(batch.column(c).to_pylist() for c in ("runs", "at")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), pa.array(gone, pa.list_(pa.bool_()))], [*_KEYS, "_gone"])
 
-    out = staged(found.join(own.select(*_KEYS, "at"), _KEYS).select(*_KEYS, "runs", "at").mapInArrow(gather, "_doc long, _text long, _gone array<boolean>"), "gone-lines")
+    out = staged(found.join(own.select(*_KEYS, "at").hint("merge"), _KEYS).select(*_KEYS, "runs", "at").mapInArrow(gather, "_doc long, _text long, _gone array<boolean>"), "gone-lines")
     drop_staged(prints, counts, shared, own, many, first, found)
     return out
 
