@@ -10,6 +10,7 @@ Large groups aren't multiplied out. Documents with equal sets are one class from
 First each class is compared with one pivot only, the one that most of its prefix n-grams name; the links found
 give provisional components. Then, n-gram by n-gram, the members outside of the n-gram's largest component are
 compared with the members of other components: every pair that could still join two components, and no other.
+They meet by n-gram and band of size, so that a very frequent n-gram is spread over the bands.
 No candidate is dropped: the result is the exact set of components, and a spanning set of verified links.
 
 n-grams are 64-bit hashes of lower-cased words (45 bits within fragments, which an unshared pair of n-grams of a
@@ -327,11 +328,13 @@ def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) ->
     largest = sizes.groupBy("gram").agg(F.max(F.struct("count", "component")).alias("top"), F.count(F.lit(1)).alias("groups")).filter("groups > 1").select("gram", F.col("top.component").alias("largest"))
     largest = staged(largest, "jaccard-largest")
     open_ = staged(held.join(largest, "gram"), "jaccard-open")
-    x = open_.filter("component <> largest").select("gram", "largest", *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "place", "component")])
-    y = open_.select("gram", *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "place", "component")])
     t = percent / 100
+    # sets that link differ in size by a factor of 1 / t at most, so their bands are the same or neighbours
+    band = F.floor(F.log("n") * ((1 - 1e-9) / max(-math.log(t), 0.01))).cast("int")
+    x = open_.filter("component <> largest").select("gram", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "place", "component")])
+    y = open_.select("gram", band.alias("band"), *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "place", "component")])
     room = 1 + F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) - 1
-    pairs = x.join(y, "gram").filter((F.col("x_component") != F.col("y_component")) & may(F.col("x_n"), F.col("y_n")) & (room >= least_overlap(t, F.col("x_n"), F.col("y_n"))))
+    pairs = x.join(y, ["gram", "band"]).filter((F.col("x_component") != F.col("y_component")) & may(F.col("x_n"), F.col("y_n")) & (room >= least_overlap(t, F.col("x_n"), F.col("y_n"))))
     pairs = pairs.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
     second = staged(_verified(staged(pairs, "jaccard-pairs"), records, percent), "jaccard-links")
     drop_staged(postings, pivots, held, largest, open_, records)

@@ -583,6 +583,18 @@ def test_jaccard_salted_fragments(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, 85)
 
 
+@pytest.mark.parametrize("percent", [85, 100])
+def test_jaccard_bands_of_size(spark, percent):
+    """Nested texts of 1 to 140 words, each in a chain of sizes that link just or just not."""
+    rng = random.Random(14)
+    rows = []
+    for k in range(3):
+        base = [f"{k}w{rng.randint(0, 500)}" for _ in range(140)]
+        rows += [(200 * k + m, " ".join(base[:m])) for m in range(1, 141) if rng.random() < 0.35 + 0.3 * k]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=4, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, percent)
+
+
 def test_jaccard_hard_rows(docs):
     got = jaccard.near_duplicates(docs)
     assert got.count() == len(HARD) and got.filter("doc_id = 3 and component_id = 3").count() == 2
