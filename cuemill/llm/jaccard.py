@@ -10,7 +10,8 @@ Large groups aren't multiplied out. Documents with equal sets are one class from
 First each class is compared with one pivot only, the one that most of its prefix n-grams name; the links found
 give provisional components. Then, n-gram by n-gram, the members outside of the n-gram's largest component are
 compared with the members of other components: every pair that could still join two components, and no other.
-They meet by n-gram and band of size, so that a very frequent n-gram is spread over the bands.
+They meet by n-gram and band of size, the smaller set of a pair by the shorter prefix that the overlap with a set no smaller
+than itself leaves, so that a template's n-grams pair only sets that could link.
 No candidate is dropped: the result is the exact set of components, and a spanning set of verified links.
 
 n-grams are 64-bit hashes of lower-cased words (45 bits within fragments, which an unshared pair of n-grams of a
@@ -306,6 +307,24 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return sums.filter(_link(F.col("na"), F.col("nb"), F.col("c"), percent)).select("a", "b")
 
 
+def _roles(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The smaller and the larger sets of the pairs to compare: s_ and l_ columns with gram, band and side to meet by.
+
+    entries: gram, class, n, place, component, largest. The first n-gram that two linked sets of n <= m n-grams share
+    has the whole overlap, 2 t n / (1 + t) or more, from it to the end of the smaller set, so the smaller one is
+    found by fewer n-grams than the prefix has. Sets that link differ in size by a factor of 1 / t at most, so that the larger
+    one is in the same band of size or the next. Side 0 is for smaller sets outside of the n-gram's largest component,
+    which meet all; side 1 for those inside, which meet only sets outside.
+    """
+    of = lambda letter: [F.col(c).alias(f"{letter}_{c}") for c in ("class", "n", "place", "component")]
+    band = F.floor(F.log("n") * ((1 - 1e-9) / max(-math.log(percent / 100), 0.01))).cast("int")
+    outside = F.col("component") != F.col("largest")
+    short = (F.col("n") - F.col("place")) * (100 + percent) >= 2 * percent * F.col("n")
+    small = entries.filter(short).select("gram", F.explode(F.array(band, band + 1)).alias("band"), F.when(outside, 0).otherwise(1).alias("side"), *of("s"))
+    large = entries.select("gram", band.alias("band"), F.explode(F.when(outside, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("side"), *of("l"))
+    return small, large
+
+
 def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) -> DataFrame | None:
     """Links (a, b) between classes that hold every component together, or None if there is no candidate."""
     bits = max(3, min(20, math.ceil(math.log2(max(1, grams / FRAGMENT)))))
@@ -328,14 +347,10 @@ def class_links(docs: DataFrame, n: int, percent: int, grams: int, sets: int) ->
     largest = sizes.groupBy("gram").agg(F.max(F.struct("count", "component")).alias("top"), F.count(F.lit(1)).alias("groups")).filter("groups > 1").select("gram", F.col("top.component").alias("largest"))
     largest = staged(largest, "jaccard-largest")
     open_ = staged(held.join(largest, "gram"), "jaccard-open")
-    t = percent / 100
-    # sets that link differ in size by a factor of 1 / t at most, so their bands are the same or neighbours
-    band = F.floor(F.log("n") * ((1 - 1e-9) / max(-math.log(t), 0.01))).cast("int")
-    x = open_.filter("component <> largest").select("gram", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "place", "component")])
-    y = open_.select("gram", band.alias("band"), *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "place", "component")])
-    room = 1 + F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) - 1
-    pairs = x.join(y, ["gram", "band"]).filter((F.col("x_component") != F.col("y_component")) & may(F.col("x_n"), F.col("y_n")) & (room >= least_overlap(t, F.col("x_n"), F.col("y_n"))))
-    pairs = pairs.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
+    small, large = _roles(open_, percent)
+    room = 1 + F.least(F.col("s_n") - F.col("s_place"), F.col("l_n") - F.col("l_place")) - 1
+    pairs = small.join(large, ["gram", "band", "side"]).filter((F.col("s_component") != F.col("l_component")) & (F.col("s_n") <= F.col("l_n")) & may(F.col("s_n"), F.col("l_n")) & (room >= least_overlap(percent / 100, F.col("s_n"), F.col("l_n"))))
+    pairs = pairs.select(F.least("s_class", "l_class").alias("a"), F.greatest("s_class", "l_class").alias("b")).distinct()
     second = staged(_verified(staged(pairs, "jaccard-pairs"), records, percent), "jaccard-links")
     drop_staged(postings, pivots, held, largest, open_, records)
     return first.unionByName(second)

@@ -595,6 +595,45 @@ def test_jaccard_bands_of_size(spark, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, percent)
 
 
+def prefix_entries(sets, component, percent):
+    """Rows of the shared prefix n-grams of sets (class: set), as the second round has them."""
+    df = collections.Counter(g for x in sets.values() for g in x)
+    entries = []
+    for c, x in sets.items():
+        ordered = sorted(x, key=lambda g: (df[g], g))
+        for place, g in enumerate(ordered[: len(x) - -(-percent * len(x) // 100) + 1]):
+            if df[g] > 1:
+                entries.append((g, c, len(x), place, component[c]))
+    by = {}
+    for g, *_, comp in entries:
+        by.setdefault(g, collections.Counter())[comp] += 1
+    return [(*e, max((n, c) for c, n in by[e[0]].items())[1]) for e in entries]
+
+
+ENTRY = "gram long, class long, n long, place int, component long, largest long"
+
+
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_jaccard_roles_meet_every_pair_that_links(spark, percent):
+    rng = random.Random(15)
+    base = [rng.sample(range(400), 40) for _ in range(5)]
+    sets = {c: {*rng.choice(base)[: rng.randint(3, 40)], *rng.sample(range(400), rng.choice([0, 0, 1, 3]))} for c in range(150)}
+    component = {c: rng.randrange(12) for c in sets}
+    small, large = jaccard._roles(spark.createDataFrame(prefix_entries(sets, component, percent), ENTRY), percent)
+    met = {(r.s_class, r.l_class) for r in small.join(large, ["gram", "band", "side"]).select("s_class", "l_class").collect()}
+    linked = [(a, b) for a in sets for b in sets if component[a] != component[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    assert linked and all((a, b) in met or (b, a) in met for a, b in linked)
+
+
+def test_jaccard_template_that_links_nothing_makes_no_pairs(spark):
+    """Texts of one template and 9 % of their own: they share the template's prefix n-grams, but none links."""
+    sets = {c: {*range(91), *(1000 + 10 * c + i for i in range(9))} for c in range(60)}
+    entries = prefix_entries(sets, {c: c for c in sets}, 85)
+    assert len({c for _, c, *_ in entries}) == 60
+    small, large = jaccard._roles(spark.createDataFrame(entries, ENTRY), 85)
+    assert small.join(large, ["gram", "band", "side"]).count() == 0
+
+
 def test_jaccard_hard_rows(docs):
     got = jaccard.near_duplicates(docs)
     assert got.count() == len(HARD) and got.filter("doc_id = 3 and component_id = 3").count() == 2
