@@ -164,6 +164,26 @@ st AS (
           AND len(list_filter(it.abbrs, lambda a: len(list_filter(st.abbrs, lambda b: b = a)) >= 9)) = 0 AS ok
         FROM st JOIN it ON it.i = st.i + 1) it),
 fin AS (SELECT ids FROM st ORDER BY i DESC LIMIT 1)
+SELECT unnest(ids) AS item_id, generate_subscripts(ids, 1) AS uid FROM fin""",
+    "greedy_quota": f"""WITH RECURSIVE {_MANIFEST},
+q AS (SELECT greatest(1, 24 // count(DISTINCT pron)) AS qp, list(DISTINCT pron) AS all_prons, greatest(1, 24 // count(DISTINCT tier)) AS qt, list(DISTINCT tier) AS all_tiers FROM rules),
+own AS (SELECT doc_id, list(DISTINCT abbr) AS it_abbrs, list(DISTINCT pron) AS it_prons, list(DISTINCT tier) AS it_tiers FROM ranked GROUP BY doc_id),
+it AS (
+  SELECT man.uid, video_id, lower({_STRIP("text")}) AS k, it_abbrs, it_prons, it_tiers, prim.pron, prim.tier, q.*, row_number() OVER (ORDER BY man.n_hits, man.uid) AS i
+  FROM man JOIN own ON own.doc_id = man.uid JOIN prim ON prim.doc_id = man.uid CROSS JOIN q),
+st AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[] AS ids, []::VARCHAR[] AS vids, []::VARCHAR[] AS keys, []::VARCHAR[] AS abbrs, []::VARCHAR[] AS prons, []::VARCHAR[] AS tiers
+  UNION ALL
+  SELECT i, CASE WHEN ok THEN list_append(ids, uid) ELSE ids END, CASE WHEN ok THEN list_append(vids, video_id) ELSE vids END,
+         CASE WHEN ok THEN list_append(keys, k) ELSE keys END, CASE WHEN ok THEN list_concat(abbrs, it_abbrs) ELSE abbrs END,
+         CASE WHEN ok THEN list_concat(prons, it_prons) ELSE prons END, CASE WHEN ok THEN list_concat(tiers, it_tiers) ELSE tiers END
+  FROM (SELECT it.*, st.ids, st.vids, st.keys, st.abbrs, st.prons, st.tiers,
+          len(st.ids) < 24 AND len(list_filter(st.vids, lambda v: v = it.video_id)) < 10 AND NOT list_contains(st.keys, it.k)
+          AND len(list_filter(it_abbrs, lambda a: len(list_filter(st.abbrs, lambda b: b = a)) >= 9)) = 0
+          AND (len(list_filter(st.prons, lambda v: v = it.pron)) < qp OR len(list_filter(all_prons, lambda a: len(list_filter(st.prons, lambda b: b = a)) < qp)) = 0)
+          AND (len(list_filter(st.tiers, lambda v: v = it.tier)) < qt OR len(list_filter(all_tiers, lambda a: len(list_filter(st.tiers, lambda b: b = a)) < qt)) = 0) AS ok
+        FROM st JOIN it ON it.i = st.i + 1) it),
+fin AS (SELECT ids FROM st ORDER BY i DESC LIMIT 1)
 SELECT unnest(ids) AS item_id, generate_subscripts(ids, 1) AS uid FROM fin""",
     "quota_plan": f"""WITH rules(variant, abbr, reading, pron, tier, rule_id) AS (VALUES {_rules})
 SELECT 'pron_type' AS kind, pron AS name, (2000 // (SELECT count(DISTINCT pron) FROM rules))::INT AS quota FROM rules GROUP BY pron
