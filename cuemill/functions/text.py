@@ -121,7 +121,9 @@ def safe_name(text: Column) -> Column:
 
 
 def clip_name(video_id: Column, start: Column, end: Column) -> Column:
-    return F.format_string("%s_%09d_%09d.wav", video_id, (start * 1000).cast("long"), (end * 1000).cast("long"))
+    """Named by the times as a record has them: the sum that a timecode makes can fall short of them (60 + 33.48 < 93.48)."""
+    ms = lambda t: (F.round(t, 3) * 1000).cast("long")
+    return F.format_string("%s_%09d_%09d.wav", video_id, ms(start), ms(end))
 
 
 def dedup_key(mode: str, video_id: Column, start: Column, end: Column, text: Column) -> Column:

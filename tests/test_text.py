@@ -67,6 +67,16 @@ def test_seconds_and_clip(spark):
     assert one(spark, lambda c: X.clip_name(c, F.lit(0.564), F.lit(28.258)), "155035") == "155035_000000564_000028258.wav"
 
 
+def test_clips_are_named_by_the_times_of_the_record(spark):
+    t = F.col("id")
+    code = F.format_string("%02d:%02d:%02d.%03d", F.floor(t / 3600000), F.floor(t / 60000) % 60, F.floor(t / 1000) % 60, t % 1000)
+    rows = spark.range(0, 7_200_000, 20).select("id", X.seconds(code).alias("s"))
+    got = {r.id: (r.s, r.clip) for r in rows.select("id", "s", X.clip_name(F.lit("v"), F.col("s"), F.col("s")).alias("clip")).collect()}
+    assert got[93480] == (60 + 33.48, "v_000093480_000093480.wav")
+    assert [i for i, (s, clip) in got.items() if clip != f"v_{int(i / 1000 * 1000):09d}_{int(i / 1000 * 1000):09d}.wav"] == []
+    assert any(int(s * 1000) != int(i / 1000 * 1000) for i, (s, clip) in got.items())  # unrounded sums would differ
+
+
 def test_summarize(spark):
     assert one(spark, X.summarize_stderr, "a  b\nc") == "a b c"
     assert len(one(spark, X.summarize_stderr, "x" * 400)) == 300
