@@ -39,6 +39,8 @@ from .components import components
 FRAGMENT, GATHER, SETS = 2_000_000, 1_000_000, 8_000_000
 #: n-grams packed at once, and classes a task remembers, so as to send equal sets once (the next step drops the rest).
 PACK, SEEN = 600_000, 150_000
+#: Segments of a cell whose numbers fit below an n-gram in 64 bits.
+OWNERS = 1 << 24
 _PARTS = 8  # fragments in which overlaps of pairs are counted
 
 _U = np.uint64
@@ -60,7 +62,7 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2^64 and their inverses."""
     global _powers
     if _powers is None or len(_powers[0]) < n:
-        n = max(n, 1 << 21)
+        n = max(n + n // 8, 1 << 16)
         inverse = pow(_R, -1, 1 << 64)
         with np.errstate(over="ignore"):
             steps = [np.full(n, base, np.uint64) for base in (_R, inverse)]
@@ -127,11 +129,19 @@ def _segments(docs: DataFrame, n: int, bits: int, salts: int) -> DataFrame:
     def pack(sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         cls, size = np.array([_class(x) for x in sets], np.int64), np.array([len(x) for x in sets], np.uint32)
         every = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), size)
-        cell = (every >> _U(64 - bits)).astype(np.int64) * salts + (cls % salts)[owner]
-        key = cell * len(sets) + owner
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
+        key = (every >> _U(64 - bits)).view(np.int64)  # the cell, then the owner
+        key *= salts
+        if salts > 1:
+            key += (cls % salts)[owner]
+        key *= len(sets)
+        key += owner
+        del owner
         order = np.argsort(key, kind="stable")
-        key, tail = key[order], (every[order] >> low) & mask
+        key, tail = key[order], every[order]
+        del every, order
+        tail >>= low
+        tail &= mask
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.append(at, len(key))).astype(np.uint32)
         own, f = key[at] % len(sets), key[at] // len(sets)
@@ -161,13 +171,18 @@ def _segments(docs: DataFrame, n: int, bits: int, salts: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "cell int, classes binary, sizes binary, counts binary, grams binary")
 
 
-def _wide(packed: list[bytes]) -> np.ndarray:
-    x = np.zeros((sum(map(len, packed)) // 5, 8), np.uint8)
+def _wide(packed: pa.ChunkedArray) -> np.ndarray:
+    """The 5-byte n-grams of a binary column, read where Arrow holds them."""
+    held = []
+    for c in packed.chunks:
+        ends = np.frombuffer(c.buffers()[1], np.int64 if pa.types.is_large_binary(c.type) else np.int32)[c.offset : c.offset + len(c) + 1] if len(c) else [0]
+        if ends[0] < ends[-1]:
+            held.append(np.frombuffer(c.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, 5))
+    x = np.zeros((sum(map(len, held)), 8), np.uint8)
     at = 0
-    for p in packed:
-        n = len(p) // 5
-        x[at : at + n, :5] = np.frombuffer(p, np.uint8).reshape(-1, 5)
-        at += n
+    for p in held:
+        x[at : at + len(p), :5] = p
+        at += len(p)
     return x.view(np.uint64).ravel()
 
 
@@ -181,15 +196,24 @@ def _column(table: pa.Table, name: str, kind: type) -> np.ndarray:
 def _cell(table: pa.Table) -> tuple[np.ndarray, ...]:
     """Classes and sizes of a cell's segments, its n-grams (ascending, each class once) and their owners."""
     cls, size, count = _column(table, "classes", np.int64), _column(table, "sizes", np.uint32), _column(table, "counts", np.uint32)
-    gram = _wide(table.column("grams").to_pylist())
-    owner = np.repeat(np.arange(len(cls), dtype=np.int32), count)
+    gram = _wide(table.column("grams"))
+    owner = np.repeat(np.arange(len(cls), dtype=np.uint32), count)
     first = np.zeros(len(cls), bool)
     first[np.unique(cls, return_index=True)[1]] = True
     if not first.all():
         keep = first[owner]
         gram, owner = gram[keep], owner[keep]
-    order = np.argsort(gram, kind="stable")
-    return cls, size, gram[order], owner[order]
+    if len(cls) > OWNERS:
+        order = np.argsort(gram, kind="stable")
+        return cls, size, gram[order], owner[order].view(np.int32)
+    # an n-gram has 40 bits, so that its owner goes below it and one sort in place orders both
+    gram <<= _U(24)
+    np.bitwise_or(gram, owner, out=gram)
+    del owner
+    gram.sort()
+    owner = gram.view(np.uint32)[::2] & np.uint32(0xFFFFFF)
+    gram >>= _U(24)
+    return cls, size, gram, owner.view(np.int32)
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,9 +250,12 @@ def _shared(cells: DataFrame, parts: int, salts: int) -> DataFrame:
     def alone(table: pa.Table) -> pa.Table:
         release_memory()
         cls, size, gram, owner = _cell(table)
+        keep, same = np.zeros(len(gram), bool), gram[1:] == gram[:-1]
+        keep[1:] = same
+        keep[:-1] |= same
+        gram, owner = gram[keep], owner[keep]
         _, df = _runs(gram)
-        keep = np.repeat(df > 1, df)
-        return cut_up(table.column("cell")[0].as_py(), cls, size, gram[keep], owner[keep], np.repeat(_rank(df), df)[keep])
+        return cut_up(table.column("cell")[0].as_py(), cls, size, gram, owner, np.repeat(_rank(df), df))
 
     def tally(table: pa.Table) -> pa.Table:
         release_memory()
