@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,9 +44,16 @@ def unescape(text: Column) -> Column:
     return F.coalesce(decode(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
-def normalize_caption(text: Column) -> Column:
+def named_entities(text: Column) -> Column:
+    """P.NAMED_ENTITIES decoded, with their semicolon only; what decoding makes is not decoded again."""
+    for entity, char in P.NAMED_ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def normalize_caption(text: Column, decode: Callable[[Column], Column] = unescape) -> Column:
     """Tags to spaces, then entities, then white space; not idempotent, on purpose."""
-    return squeeze(unescape(F.regexp_replace(text, P.TAG, " ")))
+    return squeeze(decode(F.regexp_replace(text, P.TAG, " ")))
 
 
 def seconds(timecode: Column) -> Column:

@@ -37,6 +37,21 @@ def test_matches_sql(spark, duck, name):
     assert _rows(got) == _rows(want)
 
 
+def test_caption_normalize_entities(spark, tmp_path):
+    """Entities cut short, unknown to the SQL, run together, or made by decoding."""
+    import duckdb
+
+    from cuemill.plans.oracles import ORACLES
+    from cuemill.plans.queries import QUERIES
+
+    texts = ["<p>ver&amp</p> x", "a&am&a&&quot b", "a &amp;quot; &amp;amp; b", "&copy;&middot;&quot;&amp;", "&copy2 &ampx; &lt;b&gt; &#38; &nbsp;", " &amp; ", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").coalesce(1).write.parquet(path := str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{path}/*.parquet'")
+    got, want = QUERIES["caption_normalize"](spark, str(tmp_path)).toArrow(), con.sql(ORACLES["caption_normalize"]).to_arrow_table()
+    assert _rows(got) == _rows(want)
+
+
 def test_registry():
     import __spark_entry__ as entry
 
