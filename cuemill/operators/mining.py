@@ -2,7 +2,8 @@
 
 Videos come in the order of sources and listings, segments in their order inside a video. Everything before the
 selection runs on all executors; the selection gets narrow rows of the segments that passed scoring, and the records
-are joined back to what it takes. Selections are resumed from the records of an earlier manifest: its highest uid, its
+are joined back to what it takes. Scored segments and what is selected are staged: selection, records and counters read
+them, and no file is parsed twice. Selections are resumed from the records of an earlier manifest: its highest uid, its
 counts by video, domain, abbreviation, type and tier, and its dedup keys.
 
 Acquisition is data here: `listings` (source_url, entries), `infos` (url, id, webpage_url, subtitles) and `subtitles`
@@ -23,8 +24,9 @@ from ..functions import patterns as P
 from ..functions import text as X
 from ..sources import subtitles as S
 from ..sources.rules import Rule, quota_plan
+from ..staging import staged
 from . import abbr, score, segment, stats
-from .select import Quotas, sequential
+from .select import Quotas, binding, ranked, sequential
 
 
 @dataclass(frozen=True)
@@ -51,13 +53,14 @@ def find(sources: DataFrame, listings: DataFrame, infos: DataFrame, subtitles: D
     known = infos.select("url", F.struct("id", "webpage_url", S.manual_language(F.col("subtitles"), source.prefer_lang).alias("lang")).alias("info")).filter("url is not null")
     videos = urls.join(known.dropDuplicates(["url"]), "url", "left")
     videos = videos.select("source_idx", "video_idx", "url", "domain", "note", F.nullif("info.id", F.lit("")).alias("video_id"), F.coalesce(F.nullif("info.webpage_url", F.lit("")), "url").alias("URL_"), F.col("info.lang").alias("lang"), F.col("info").isNull().alias("failed"))
+    videos = staged(videos, "mine-videos")
     files = subtitles.select("video_id", "lang", F.col("path").alias("subtitle_path"), "body").filter(has_text("body"))
     wanted = videos.filter(F.col("video_id").isNotNull() & F.col("lang").isNotNull())
     # each file is parsed once, however many sources list its video
-    own = files.join(wanted.select("video_id", "lang").distinct(), ["video_id", "lang"], "left_semi").withColumn("file", F.struct("video_id", "lang"))
+    own = files.join(wanted.select("video_id", "lang").distinct(), ["video_id", "lang"], "left_semi").withColumn("file", F.struct("video_id", "lang", "subtitle_path"))
     cues = S.parse_cues(own.select(F.col("file").alias("video_id"), "body"))
-    parts = segment.segments(cues, cut).select("video_id.video_id", "video_id.lang", "seg_ord", "start", "end", "text")
-    placed = parts.join(wanted, ["video_id", "lang"]).join(own.select("video_id", "lang", "subtitle_path"), ["video_id", "lang"])
+    parts = segment.segments(cues, cut).select("video_id.*", "seg_ord", "start", "end", "text")
+    placed = parts.join(wanted, ["video_id", "lang"])
     return Found(sources, videos, placed.withColumn("item_id", item_id()))
 
 
@@ -89,13 +92,15 @@ def _resumed(existing: DataFrame | None, field_counts: dict[str, Callable[[DataF
     return uid, videos, {k: Counter({r[0]: r["n"] for r in f(existing).collect() if r[0]}) for k, f in field_counts.items()}
 
 
-def _select(items: DataFrame, wide: DataFrame, order: list[str], quotas: Quotas, uid: int, cut: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
-    """item_id and uid. cut makes the clips of what is selected (rows of wide) and returns the item_ids that failed; those are left
+def _select(items: DataFrame, wide: DataFrame, order: list[str], quotas: Quotas, uid: int, mode: str, cut: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """item_id and uid. Ranks select where no cap can bind but that of a video and keys (of the mode) repeat only inside a
+    video, else a fold. cut makes the clips of what is selected (rows of wide) and returns the item_ids that failed; those are left
     out and the selection is made anew, until none fails: the same as trying each clip when it is selected."""
+    pick = sequential if mode == "text" or binding(quotas, items.count()) else ranked
     while True:
-        chosen = sequential(items, order, quotas, uid + 1)
+        chosen = pick(items, order, quotas, uid + 1)
         if cut is None:
-            return chosen
+            return staged(chosen, "mine-chosen")
         rows = [tuple(r) for r in chosen.collect()]  # at most the target
         chosen = items.sparkSession.createDataFrame(rows, "item_id long, uid long")
         failed = [r[0] for r in cut(wide.join(F.broadcast(chosen), "item_id")).select("item_id").collect()]
@@ -136,14 +141,14 @@ def _sorted_map(counts: Counter) -> dict:
 def mine_rare_words(found: Found, vocab: DataFrame, *, config: RareWordConfig = RareWordConfig(), out_dir: str = "", existing: DataFrame | None = None, before: dict | None = None, lexicon: dict | None = None, cut: Callable[[DataFrame], DataFrame] | None = None) -> Mined:
     """The manifest of segments with one to max_rare_words rare or unknown words (vocab: word, in_low, in_high)."""
     uid, videos, counts = _resumed(existing, {"domain": lambda m: stats.counter(m, "domain")})
-    items = _open(found, existing, config.max_per_video, config.dedup_key)
+    items = staged(_open(found, existing, config.max_per_video, config.dedup_key), "mine-segments")
     words = score.rare_words(items, vocab, "item_id")
     kept = score.gate(items.join(words, "item_id"), config, lexicon)
-    kept = kept.withColumn("found_domain", score.assign_domain(F.col("domain"), F.col("domains")))
+    kept = staged(kept.withColumn("found_domain", score.assign_domain(F.col("domain"), F.col("domains"))), "mine-kept")
     narrow = kept.select("item_id", "video_id", "dedup_key", F.array("found_domain").alias("domain"), "start", "end")
     cap = {"domain": config.max_per_domain} if config.max_per_domain else {}
     quotas = Quotas(target=config.target_count, per_video=config.max_per_video, caps=cap, taken=uid, videos=videos, counts=counts)
-    chosen = _select(narrow, kept, ["item_id"], quotas, uid, cut)
+    chosen = _select(narrow, kept, ["item_id"], quotas, uid, config.dedup_key, cut)
     audio, sub = paths(out_dir, config.path_mode, True)
     new = kept.join(chosen, "item_id").select(
         F.col("uid"), F.col("URL_").alias("URL"), F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "text", audio.alias("audio_path"), "video_id", F.col("lang").alias("subtitle_lang"),
@@ -157,14 +162,14 @@ def _mine_abbreviations(found: Found, rules: list[Rule] | None, config: Abbrevia
     uid, videos, counts = _resumed(existing, {k: (lambda m, f=f: stats.hit_counter(m, f)) for k, f in classes.items()})
     items = _open(found, existing, config.max_per_video, config.dedup_key)
     kept = abbr.score(items, rules, config.max_abbrs_per_sentence, key="item_id")
+    kept = kept.withColumn("n_candidates", F.size(X.abbreviation_candidates(F.col("text"))))
     values = lambda f: F.array_distinct(F.transform("abbreviations", lambda h: h[f]))
-    n = F.size(X.abbreviation_candidates(F.col("text"))).alias("n_candidates")
-    narrow = kept.select("item_id", "video_id", "dedup_key", *[values(f).alias(k) for k, f in classes.items()], F.col("primary_pron_type").alias("primary_pron"), F.col("primary_confidence_tier").alias("primary_tier"), "source_idx", "video_idx", n, "start", "end", "seg_ord")
+    narrow = kept.select("item_id", "video_id", "dedup_key", *[values(f).alias(k) for k, f in classes.items()], F.col("primary_pron_type").alias("primary_pron"), F.col("primary_confidence_tier").alias("primary_tier"), "source_idx", "video_idx", "n_candidates", "start", "end", "seg_ord")
     quotas = Quotas(target=config.target_count, per_video=config.max_per_video, caps={"abbr": config.max_per_abbr}, taken=uid, videos=videos, counts=counts)
     if rules is not None:
         pron, tier = quota_plan(rules, config.target_count)
         quotas = replace(quotas, primary={"pron": pron, "tier": tier})
-    chosen = _select(narrow, kept, ["source_idx", "video_idx", "n_candidates", "start", "seg_ord"], quotas, uid, cut)
+    chosen = _select(narrow, kept, ["source_idx", "video_idx", "n_candidates", "start", "seg_ord"], quotas, uid, config.dedup_key, cut)
     clip, sub = paths(out_dir, path_mode, audio)
     extra = ["match_mode"] if rules is None else []
     new = kept.join(chosen, "item_id").select("uid", F.col("URL_").alias("URL"), "video_id", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), clip.alias("audio_path"), sub.alias("subtitle_path"), "text", "text_expanded", "abbreviations", "primary_abbr", "primary_pron_type", "primary_confidence_tier", F.col("domain").alias("source_domain"), F.col("note").alias("source_note"), *extra)

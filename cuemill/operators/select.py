@@ -2,7 +2,8 @@
 
 Items are tried in order and taken while the target, their video's and their class's caps, and their dedup key
 allow it; keys and counts are recorded only for items that are taken. Where every video lies in one class and keys
-repeat only inside a video, ranks give the same result and run everywhere (`windowed`); otherwise a fold over the
+repeat only inside a video, ranks give the same result and run everywhere (`windowed`; `ranked` where the caps of classes
+can't bind at all, which `binding` tells); otherwise a fold over the
 ordered survivors decides (`sequential`): one task that streams narrow rows and holds counters only. That stage is
 serial by its nature: an acceptance depends on all acceptances before it.
 """
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import staged
+
 
 def first_of_key(items: DataFrame, order: list[str], key: str = "dedup_key") -> DataFrame:
     """Of items with the same key the first; items without a key all stay. Aggregation with map-side combine, no window."""
@@ -101,3 +104,32 @@ def sequential(items: DataFrame, order: list[str], quotas: Quotas, first_uid: in
 
     narrow = items.select(*names, *[c for c in order if c not in names])
     return narrow.repartition(1).sortWithinPartitions(*order).mapInArrow(fold, "item_id long, uid long")
+
+
+def binding(quotas: Quotas, items: int) -> bool:
+    """Whether a cap or quota of a class could turn down one of so many items. While an item is tried, fewer than all
+    items and fewer than the target are taken; records of an earlier run are held to count in any class."""
+    if quotas.taken or quotas.videos or any(quotas.counts.values()):
+        return True
+    most = min(quotas.target, items)
+    return any(cap < most for cap in quotas.caps.values()) or any(0 < q < most for quota in quotas.primary.values() for q in quota.values())
+
+
+def numbered(rows: DataFrame, order: list[str], first: int = 1) -> DataFrame:
+    """rows with uid in the order, from first: each range of the order numbers its own rows from where the one before ends."""
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = staged(sorted_rows, "numbered").withColumn("_range", F.shiftright("_at", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = placed.groupBy("_range").agg(F.count("*").alias("n")).select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_range").withColumn("uid", F.col("_start") + F.col("_at") % (1 << 33) + first).drop("_at", "_range", "_start")
+
+
+def ranked(items: DataFrame, order: list[str], quotas: Quotas, first_uid: int = 1) -> DataFrame:
+    """item_id, uid as `sequential` gives them, without a fold: for quotas that aren't `binding` and keys that repeat only
+    inside a video."""
+    names = ["item_id", "video_id", "dedup_key"]
+    out = first_of_key(items.select(*names, *[c for c in order if c not in names]), order)
+    if quotas.per_video is not None:
+        out = out.withColumn("_v", F.row_number().over(Window.partitionBy("video_id").orderBy(*order))).filter(F.col("_v") <= quotas.per_video).drop("_v")
+    out = numbered(out.select("item_id", *[c for c in order if c != "item_id"]), order, first_uid)
+    return out.filter(F.col("uid") < first_uid + quotas.target).select("item_id", "uid")

@@ -252,3 +252,23 @@ def test_limits_of_nothing(spark, world):
     assert mining.mine_candidates(mining.find(files.seed_sources(spark, f"{world}/seeds.tsv"), files.listings(spark, f"{world}/listings.json").limit(0), files.infos(spark, f"{world}/infos.json"), cli.subtitles.read_subtitles(spark, f"{world}/subtitles"), cut=SegmentConfig())).stats["source_expand_failures"] == 5
     assert stats.as_map(stats.counter(got.segments, "lang"), "lang").first()[0].keys() == {"EN", "en"}
     assert package.IDEAL_WORDS == 12
+
+
+@pytest.mark.parametrize("kind", ["rare"])
+def test_segments_are_made_once(spark, world, kind):
+    """Selection, records and counters don't parse the files again."""
+    got, seen = found(spark, world), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    n = got.segments.count()
+    got = mining.Found(got.sources, got.videos, got.segments.mapInPandas(count, got.segments.schema))
+    if kind == "rare":
+        vocab = files.vocabulary(spark, f"{world}/one.txt", f"{world}/ten.txt")
+        made = mining.mine_rare_words(got, vocab, config=RareWordConfig(require_keyword=False, dedup_key="segment"))
+    else:
+        made = mining.mine_candidates(got, config=AbbreviationConfig(dedup_key="segment"))
+    assert made.records.count() > 0 and seen.value == n

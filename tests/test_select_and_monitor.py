@@ -1,6 +1,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cuemill.functions import patterns as P
@@ -30,6 +31,25 @@ def test_caps_have_no_other_limit(spark, monkeypatch):
     assert sorted(map(tuple, queries.cap_per_domain(spark, "").collect())) == [*((i, "x") for i in range(25)), (n - 1, "y")]
 
 
+@pytest.mark.parametrize(("target", "per_video", "first"), [(10**9, 3, 1), (25, 3, 8), (10**9, None, 1), (0, 2, 1)])
+def test_ranked_equals_sequential_where_nothing_binds(spark, target, per_video, first):
+    rng = random.Random(11)
+    rows = [(i, v := f"v{rng.randrange(20)}", rng.choice([None, f"{v}:{rng.randrange(6)}"]), [rng.choice("ab")], rng.random()) for i in range(200)]
+    items = spark.createDataFrame(rows, "item_id long, video_id string, dedup_key string, cls array<string>, at double").repartition(7)
+    quotas = select.Quotas(target, per_video, {"cls": min(target, 200)})
+    assert not select.binding(quotas, 200)
+    want = sorted(map(tuple, select.sequential(items, ["at", "item_id"], quotas, first).collect()))
+    assert sorted(map(tuple, select.ranked(items, ["at", "item_id"], quotas, first).collect())) == want
+
+
+def test_binding():
+    q = select.Quotas
+    assert not select.binding(q(9, 1, {"a": 9}), 100) and select.binding(q(9, 1, {"a": 8}), 100)
+    assert not select.binding(q(9, 1, {"a": 8}), 8)
+    assert not select.binding(q(9, primary={"p": {"x": 9, "y": 0}}), 100) and select.binding(q(9, primary={"p": {"x": 8}}), 100)
+    assert select.binding(q(9, taken=1), 1) and select.binding(q(9, counts={"a": {"x": 1}}), 1)
+
+
 def test_windowed_without_limits(spark):
     items = spark.createDataFrame([(i, "v", "d", None) for i in range(7)], "item_id long, video_id string, domain string, dedup_key string")
     assert [r.uid for r in select.windowed(items, ["item_id"], target=None, per_video=None).orderBy("item_id").collect()] == [*range(1, 8)]
