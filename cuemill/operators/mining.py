@@ -162,7 +162,7 @@ def _mine_abbreviations(found: Found, rules: list[Rule] | None, config: Abbrevia
     uid, videos, counts = _resumed(existing, {k: (lambda m, f=f: stats.hit_counter(m, f)) for k, f in classes.items()})
     items = _open(found, existing, config.max_per_video, config.dedup_key)
     kept = abbr.score(items, rules, config.max_abbrs_per_sentence, key="item_id")
-    kept = kept.withColumn("n_candidates", F.size(X.abbreviation_candidates(F.col("text"))))
+    kept = staged(kept.withColumn("n_candidates", F.size(X.abbreviation_candidates(F.col("text")))), "mine-kept")
     values = lambda f: F.array_distinct(F.transform("abbreviations", lambda h: h[f]))
     narrow = kept.select("item_id", "video_id", "dedup_key", *[values(f).alias(k) for k, f in classes.items()], F.col("primary_pron_type").alias("primary_pron"), F.col("primary_confidence_tier").alias("primary_tier"), "source_idx", "video_idx", "n_candidates", "start", "end", "seg_ord")
     quotas = Quotas(target=config.target_count, per_video=config.max_per_video, caps={"abbr": config.max_per_abbr}, taken=uid, videos=videos, counts=counts)

@@ -254,7 +254,7 @@ def test_limits_of_nothing(spark, world):
     assert package.IDEAL_WORDS == 12
 
 
-@pytest.mark.parametrize("kind", ["rare"])
+@pytest.mark.parametrize("kind", ["rare", "candidates"])
 def test_segments_are_made_once(spark, world, kind):
     """Selection, records and counters don't parse the files again."""
     got, seen = found(spark, world), spark.sparkContext.accumulator(0)
